@@ -15,16 +15,30 @@ DB = "retail"
 TOPIC_PREFIX = "changes.retail"
 
 
+BIG_TABLES = ("events", "orders", "lineitem")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _spread(df, df, name)
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A test table as a file stream."""
-    schema = table(spark, sf_dir, name).schema
-    return (
-        spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
-    )
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    stream = spark.readStream.schema(df.schema).option("pathGlobFilter", f"{name}.parquet")
+    return _spread(stream.parquet(sf_dir), df, name)
+
+
+def _spread(df: DataFrame, sized: DataFrame, name: str) -> DataFrame:
+    """Use all cores on a table that is stored as one row group.
+
+    Tables with at least as many scan partitions as cores are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if name in BIG_TABLES and sized.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
 
 
 # --- app log ------------------------------------------------------------------------

@@ -19,10 +19,9 @@ def day_text(ts_ms: Column) -> Column:
 
 def time_text(raw: Column) -> Column:
     """``yyyy-MM-dd HH:mm:ss`` from such text, or from epoch milliseconds as text."""
-    millis = raw.try_cast("bigint")
-    return F.when(
-        millis.isNotNull(), F.date_format(F.timestamp_millis(millis), "yyyy-MM-dd HH:mm:ss")
-    ).otherwise(raw)
+    # casting every text would raise and catch an error per row
+    millis = F.when(raw.rlike("^-?[0-9]+$"), raw.try_cast("bigint"))
+    return F.coalesce(F.date_format(F.timestamp_millis(millis), "yyyy-MM-dd HH:mm:ss"), raw)
 
 
 def time_millis(text: Column) -> Column:
