@@ -66,7 +66,7 @@ def parse_log(lines: DataFrame, text: str = "value") -> DataFrame:
         .when(F.col("_common.mid").isNull(), "no_mid")
         .when(present("doc", "start"), F.lit(None))
         .when(F.col("_page").isNull(), "no_page")
-        .when(present("doc", "displays") & _displays().isNull(), "bad_displays")
+        .when(present("doc", "displays") & ~_all_objects(_displays()), "bad_displays")
     )
     route = (
         F.when(F.col("dirty_reason").isNotNull(), DIRTY)
@@ -143,6 +143,10 @@ def _displays() -> Column:
     return field("doc", "displays", f"array<{OBJECT_TYPE}>")
 
 
+def _all_objects(items: Column) -> Column:
+    return F.coalesce(F.forall(items, lambda item: item.isNotNull()), F.lit(False))
+
+
 def _with_page_id() -> Column:
     kept = F.map_filter(F.col("item"), lambda k, v: k != "page_id")
     return F.when(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -42,10 +43,14 @@ def log_job(
     topics: LogTopics = LogTopics(),
     pages_with_displays: bool = False,
 ) -> DataStreamWriter:
-    """Streaming: all outputs of a micro-batch in one pass and one write."""
+    """Streaming: one parse of a micro-batch, all outputs in one write."""
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        repaired = repair_batch(accepted_lines(batch), batch_id, ledger, order_by=order_by)
-        write_topics(log_outputs(repaired, topics, pages_with_displays), out_root, batch_id)
+        parsed = accepted_lines(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            repaired = repair_batch(parsed, batch_id, ledger, order_by=order_by)
+            write_topics(log_outputs(repaired, topics, pages_with_displays), out_root, batch_id)
+        finally:
+            parsed.unpersist()
 
     return lines.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)

@@ -1,0 +1,64 @@
+import json
+
+from pyspark.sql import functions as F
+
+from millrace.functions.names import snake_to_camel
+from millrace.operators.changefeed import nonempty
+from millrace.sinks.topics import fact_outputs, topic_files, write_quarantine, write_topics
+from millrace.sources.changes import table_snapshot
+from millrace.sources.jdbc import as_text_columns, rows_with
+from millrace.sources.text import rolled_log_lines, starting_offsets
+
+
+def test_only_rolled_log_files_are_read(spark, tmp_path):
+    for name in ("app.log", "app.2021-06-24.log", "app.2021-06-25.log", "other.2021-06-25.log"):
+        (tmp_path / name).write_text(f'{{"f":"{name}"}}\n')
+    want = {'{"f":"app.2021-06-24.log"}', '{"f":"app.2021-06-25.log"}'}
+    assert {r.value for r in rolled_log_lines(spark, str(tmp_path)).collect()} == want
+    stream = rolled_log_lines(spark, str(tmp_path), streaming=True, max_files=1)
+    q = stream.writeStream.format("memory").queryName("rolled").trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert {r.value for r in spark.table("rolled").collect()} == want
+
+
+def test_startup_modes():
+    assert starting_offsets("latest") == "latest" and starting_offsets("initial") == "earliest"
+
+
+def test_table_columns_become_text_with_camel_names(spark):
+    assert snake_to_camel("source_table") == "sourceTable" and snake_to_camel("id") == "id"
+    df = spark.createDataFrame([(1, 2.5, None)], "sku_id bigint, order_price double, sku_name string")
+    got = as_text_columns(df, camel_case=True)
+    assert got.dtypes == [("skuId", "string"), ("orderPrice", "string"), ("skuName", "string")]
+    assert got.collect()[0] == ("1", "2.5", None)
+    assert rows_with(got, skuId="1").count() == 1 and rows_with(got, skuId="2").count() == 0
+
+
+def test_snapshot_rows_are_reads(spark):
+    df = spark.createDataFrame([(1, None)], "id bigint, name string")
+    got = table_snapshot(df, "shop", "t", F.col("id")).collect()[0]
+    assert (got.type, got.database, got.tableName) == ("read", "shop", "t")
+    assert json.loads(got.data) == {"id": 1, "name": None}
+    snapshot = table_snapshot(df, "shop", "t", F.col("id"))
+    assert nonempty(snapshot, read_as_insert=True).collect()[0].type == "insert"
+
+
+def test_dynamic_topics_with_default_and_nulls(spark, tmp_path):
+    rows = [("t1", '{"a":null}'), (None, '{"a":1}'), ("", '{"a":2}')]
+    records = spark.createDataFrame(rows, "sinkTable string, j string").select(
+        "sinkTable", F.from_json("j", "map<string,variant>").alias("data")
+    )
+    write_topics(fact_outputs(records), str(tmp_path / "out"), 0)
+    assert [r.value for r in topic_files(spark, str(tmp_path / "out"), "t1").collect()] == ['{"a":null}']
+    default = topic_files(spark, str(tmp_path / "out"), "dwd_default_topic")
+    assert sorted(r.value for r in default.collect()) == ['{"a":1}', '{"a":2}']
+    plan = default._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(topic" in plan
+
+
+def test_quarantine(spark, tmp_path):
+    dirty = spark.createDataFrame([("x", "r", 1)], "value string, reason string, n int")
+    for _ in range(2):  # the replay is ignored
+        write_quarantine(dirty, str(tmp_path / "q"), 3)
+    got = spark.read.parquet(str(tmp_path / "q")).collect()
+    assert [(r.value, r.reason, r.batch_id) for r in got] == [("x", "r", 3)]
