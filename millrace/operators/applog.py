@@ -100,6 +100,7 @@ def log_outputs(
 ) -> DataFrame:
     """Every output of the log job as rows of ``topic, value, reason``, from one pass.
 
+    The arrival position ``seq`` of the line is passed on where there is one.
     Lines with displays feed only the display topic; ``pages_with_displays`` sends
     them to the page topic as well.
     """
@@ -121,7 +122,10 @@ def log_outputs(
         .when(is_item, encode(drop_nulls(_with_page_id())))
         .otherwise(encode(drop_nulls(line_object(routed))))
     )
-    return rows.select(topic.alias("topic"), value.alias("value"), F.col("dirty_reason").alias("reason"))
+    passed = [c for c in ("seq",) if c in rows.columns]
+    return rows.select(
+        topic.alias("topic"), value.alias("value"), F.col("dirty_reason").alias("reason"), *passed
+    )
 
 
 def line_object(df: DataFrame) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.jsontext import OBJECT_TYPE, encode, with_parsed
+from millrace.functions.jsontext import OBJECT_TYPE, encode, field, parsed_object, with_parsed
 
 # Operation names of the envelope by record code (fixed values).
 OPERATIONS = {
@@ -20,7 +20,7 @@ OPERATIONS = {
 
 _IMAGES = "op:string,before:variant,after:variant"
 _RECORD = f"struct<{_IMAGES},payload:struct<{_IMAGES}>>"
-ENVELOPE = "struct<type:string,data:string,before:string,database:string,tableName:string>"
+ENVELOPE = ("type", "data", "before", "database", "tableName")
 
 
 def normalise(records: DataFrame, topic: str = "topic", value: str = "value") -> DataFrame:
@@ -59,16 +59,25 @@ def _image(name: str) -> Column:
 
 def encode_envelope(changes: DataFrame) -> DataFrame:
     """Add ``value``: the envelope as JSON text, nulls kept."""
-    fields = F.struct("type", "data", "before", "database", "tableName")
-    return changes.withColumn("value", encode(fields, keep_nulls=True))
+    return changes.withColumn("value", encode(F.struct(*ENVELOPE), keep_nulls=True))
 
 
-def decode_envelope(lines: DataFrame, text: str = "value") -> DataFrame:
-    """Envelope columns from JSON text; lines that are no JSON object are dropped."""
-    parsed = with_parsed(lines, F.array(F.from_json(F.col(text), ENVELOPE)), "_e")
-    return parsed.where("_e.type is not null or _e.data is not null").select(
-        *[c for c in lines.columns if c != text], "_e.*"
-    )
+def decode_envelope(lines: DataFrame, text: str = "value", keep_dirty: bool = False) -> DataFrame:
+    """Envelope columns from JSON text.
+
+    Lines that are not one JSON object are dropped, or with ``keep_dirty`` kept with
+    their text and a ``dirty_reason``.
+    """
+    parsed = with_parsed(lines, parsed_object(F.col(text)), "_doc")
+    is_dirty = F.col("_doc").isNull()
+    if not keep_dirty:
+        parsed = parsed.where(~is_dirty)
+    passed = [c for c in lines.columns if c != text]
+    dirty = [
+        F.when(is_dirty, F.col(text)).alias(text),
+        F.when(is_dirty, "not_json_object").alias("dirty_reason"),
+    ]
+    return parsed.select(*passed, *[field("_doc", c).alias(c) for c in ENVELOPE], *(dirty if keep_dirty else []))
 
 
 def only_tables(changes: DataFrame, tables: Sequence[str] = ()) -> DataFrame:

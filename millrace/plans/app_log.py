@@ -17,9 +17,15 @@ from millrace.streaming.newuser import repair_batch
 
 
 def accepted_lines(lines: DataFrame) -> DataFrame:
-    """Parsed lines in which a dirty line belongs to no device."""
-    parsed = parse_log(lines)
-    return parsed.withColumn("mid", F.when(F.col("route") != DIRTY, F.col("mid")))
+    """Parsed lines in which a dirty line belongs to no device.
+
+    Outputs are encoded from the parsed object, so only dirty lines keep their text;
+    otherwise every line would be shuffled and cached twice.
+    """
+    dirty = F.col("route") == DIRTY
+    return parse_log(lines).withColumns(
+        {"mid": F.when(~dirty, F.col("mid")), "value": F.when(dirty, F.col("value"))}
+    )
 
 
 def log_tables(

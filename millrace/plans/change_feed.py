@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -10,7 +10,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from millrace.functions.jsontext import encode
-from millrace.operators.changefeed import nonempty
+from millrace.operators.changefeed import (
+    decode_envelope,
+    encode_envelope,
+    nonempty,
+    normalise,
+    only_tables,
+)
 from millrace.operators.dimensions import create_dim_table, dim_changes
 from millrace.operators.routing import (
     DIM_SINK_TYPE,
@@ -25,7 +31,26 @@ from millrace.sinks.topics import fact_outputs, write_topics
 from millrace.streaming.ledger import Ledger
 from millrace.streaming.snapshot import Snapshot
 
+ODS_TOPIC = "ods_base_db"
 UNROUTED_TOPIC = "unrouted_changes"
+DIRTY_TOPIC = "dirty_changes"
+
+
+def ods_job(
+    records: DataFrame,
+    out_root: str,
+    checkpoint: str,
+    tables: Sequence[str] = (),
+    topic: str = ODS_TOPIC,
+) -> DataStreamWriter:
+    """Streaming: change records of the given ``db.table`` names -> envelope text in one topic."""
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        envelopes = encode_envelope(only_tables(normalise(batch), tables))
+        passed = [c for c in ("seq",) if c in envelopes.columns]
+        write_topics(envelopes.select(F.lit(topic).alias("topic"), "value", *passed), out_root, batch_id)
+
+    return records.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
 
 
 def changes_routed(
@@ -58,25 +83,35 @@ def change_feed_job(
 ) -> DataStreamWriter:
     """Streaming: rules are read again at the start of every micro-batch.
 
-    A rule therefore takes effect with the next batch; rows no rule matches are kept
-    in the audit topic.
+    ``changes`` holds envelope columns and ``seq``, or ``value`` text and ``seq``; text
+    that is not one JSON object goes to the dirty topic.  A rule takes effect with the
+    next batch; rows no rule matches are kept in the audit topic.
     """
+    is_text = "value" in changes.columns and "data" not in changes.columns
 
     def process(batch: DataFrame, batch_id: int) -> None:
         rules = load_rules()
         if dim_database:
             create_dim_tables(rules, dim_database)
-        routed = changes_routed(batch, rules, keep_deletes, read_as_insert)
+        parsed = decode_envelope(batch, keep_dirty=True) if is_text else batch
+        parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
+        routed = changes_routed(parsed, rules, keep_deletes, read_as_insert)
         routed = routed.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            facts = fact_outputs(routed_records(routed, FACT))
-            audit = routed.where(F.col("route") == UNROUTED).select(
-                F.lit(UNROUTED_TOPIC).alias("topic"), encode(F.col("data"), keep_nulls=True).alias("value")
+            outputs = fact_outputs(routed_records(routed, FACT)).unionByName(
+                routed.where(F.col("route") == UNROUTED).select(
+                    F.lit(UNROUTED_TOPIC).alias("topic"),
+                    encode(F.col("data"), keep_nulls=True).alias("value"),
+                )
             )
-            write_topics(facts.unionByName(audit), out_root, batch_id)
+            if is_text:
+                dirty = parsed.where("dirty_reason is not null")
+                outputs = outputs.unionByName(dirty.select(F.lit(DIRTY_TOPIC).alias("topic"), "value"))
+            write_topics(outputs, out_root, batch_id)
             dims.append(batch_id, dim_changes(routed))
         finally:
             routed.unpersist()
+            parsed.unpersist()
 
     return changes.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
 

@@ -13,10 +13,16 @@ from millrace.functions.jsontext import as_text, field
 from millrace.functions.timetext import age_years, day_text
 from millrace.operators import applog, changefeed, dimensions, jumpout, newuser, orders, routing, visits
 from millrace.plans.app_log import log_job, log_tables
-from millrace.plans.change_feed import change_feed_job, changes_routed, pulled_rules_job
+from millrace.plans.change_feed import (
+    ODS_TOPIC,
+    change_feed_job,
+    changes_routed,
+    ods_job,
+    pulled_rules_job,
+)
 from millrace.plans.order_wide import order_wide, order_wide_job
 from millrace.plans.page_visits import jumpouts_job, page_rows, unique_visits_job
-from millrace.session import ROCKSDB, work_dir
+from millrace.session import STATE_STORE, work_dir
 from millrace.sinks.topics import fact_outputs, topic_files, write_quarantine, write_topics
 from millrace.streaming.dimensions import current_dim, dim_ledger
 from millrace.streaming.jumpout import jumpouts_stream, page_sessions_stream
@@ -423,9 +429,13 @@ def _collected(spark: SparkSession, rows: DataFrame, name: str, mode: str = "app
     return spark.read.schema(rows.schema).parquet(f"{root}/rows").select(*rows.columns)
 
 
+def _streaming_settings(spark: SparkSession) -> None:
+    for key, value in {"spark.sql.session.timeZone": "UTC", **STATE_STORE}.items():
+        spark.conf.set(key, value)
+
+
 def _line_stream(spark: SparkSession, sf: str) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    _streaming_settings(spark)
     return fx.lines_from_events(fx.table_stream(spark, sf, "events"))
 
 
@@ -454,7 +464,9 @@ def stream_uv_job(spark, sf):
     root = work_dir(spark, "uv-job")
     ledger = device_ledger(spark, f"{root}/devices")
     _finish(log_job(_line_stream(spark, sf), f"{root}/dwd", ledger, f"{root}/log-checkpoint"))
-    pages = topic_files(spark, f"{root}/dwd", "dwd_page_log", streaming=True)
+    pages = topic_files(
+        spark, f"{root}/dwd", "dwd_page_log", streaming=True, columns="value string, seq bigint"
+    )
     _finish(unique_visits_job(pages, f"{root}/dwm", f"{root}/uv-checkpoint"))
     ts = F.get_json_object("value", "$.ts").cast("bigint")
     visits_ = topic_files(spark, f"{root}/dwm", "dwm_unique_visit")
@@ -490,7 +502,7 @@ def stream_session_windows(spark, sf):
 
 
 def _order_streams(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    _streaming_settings(spark)
     province = F.lit(None).cast("bigint")
     lines = fx.order_texts_from(fx.table_stream(spark, sf, "orders"), province)
     return lines, fx.detail_texts_from(fx.table_stream(spark, sf, "lineitem"))
@@ -527,10 +539,13 @@ def _change_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def stream_route(spark, sf):
-    """The streaming change feed job: facts and unrouted rows per topic."""
+    """Two chained jobs: change records to envelope text, text to facts and unrouted rows."""
     root = work_dir(spark, "change-feed")
+    records = fx.order_changes(fx.table_stream(spark, sf, "orders"))
+    _finish(ods_job(records, f"{root}/ods", f"{root}/ods-checkpoint"))
+    text = topic_files(spark, f"{root}/ods", ODS_TOPIC, streaming=True, columns="value string, seq bigint")
     job = change_feed_job(
-        _change_stream(spark, sf),
+        text,
         lambda: fx.rules(spark),
         f"{root}/facts",
         dim_ledger(spark, f"{root}/dims"),

@@ -7,7 +7,11 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# State that outgrows memory, and only its changes written at each commit.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def build_session(app: str = "millrace", master: str | None = None, **conf: str) -> SparkSession:
@@ -16,7 +20,7 @@ def build_session(app: str = "millrace", master: str | None = None, **conf: str)
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+        **STATE_STORE,
         "spark.python.unix.domain.socket.enabled": "true",
         **conf,
     }

@@ -40,11 +40,17 @@ def write_topics(outputs: DataFrame, root: str, batch_id: int) -> None:
         outputs.write.mode("overwrite").partitionBy("topic").parquet(path)
 
 
-def topic_files(spark: SparkSession, root: str, topic: str, streaming: bool = False) -> DataFrame:
-    """``value`` of one topic directory; only its partitions are listed and read."""
-    schema = "value string, batch_id long, topic string"
+def topic_files(
+    spark: SparkSession,
+    root: str,
+    topic: str,
+    streaming: bool = False,
+    columns: str = "value string",
+) -> DataFrame:
+    """``value`` (or more ``columns``) of one topic directory; only its partitions are read."""
+    schema = f"{columns}, batch_id long, topic string"
     reader = (spark.readStream if streaming else spark.read).schema(schema)
-    return reader.parquet(root).where(F.col("topic") == topic).select("value")
+    return reader.parquet(root).where(F.col("topic") == topic).drop("batch_id", "topic")
 
 
 def write_quarantine(dirty: DataFrame, root: str, batch_id: int) -> None:

@@ -44,6 +44,17 @@ def test_normalise_operations_and_images(spark):
     assert {r.seq: r.data for r in again.collect()} == {i: r.data for i, r in got.items()}
 
 
+def test_dirty_envelope_text(spark):
+    df = spark.createDataFrame([(1, '{"type":"insert","data":"{}"}'), (2, "junk"), (3, None)], "seq bigint, value string")
+    assert [r.seq for r in cf.decode_envelope(df).collect()] == [1]
+    kept = {r.seq: (r.type, r.value, r.dirty_reason) for r in cf.decode_envelope(df, keep_dirty=True).collect()}
+    assert kept == {
+        1: ("insert", None, None),
+        2: (None, "junk", "not_json_object"),
+        3: (None, None, "not_json_object"),
+    }
+
+
 def test_empty_images_and_options(spark):
     row = {"id": 1}
     df = cf.normalise(
