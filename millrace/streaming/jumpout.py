@@ -12,13 +12,14 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import StructType
 
 from millrace.functions.timetext import event_time
 from millrace.operators.timeslices import default_width, with_slices
 from millrace.operators.visits import is_entry
 
-_STATE = "ts bigint, seq {seq}, entry boolean, own boolean, done boolean, value string"
-_OUTPUT = "mid string, ts bigint, seq {seq}, value string, reason string"
+_STATE = "ts bigint, {position}, entry boolean, own boolean, done boolean, value string"
+_OUTPUT = "mid string, ts bigint, {position}, value string, reason string"
 
 
 class NeighbourDecisions(StatefulProcessor):
@@ -27,8 +28,8 @@ class NeighbourDecisions(StatefulProcessor):
     ``by_session`` selects the session definition, else the pattern definition.
     """
 
-    def __init__(self, state: str, bound_ms: int, by_session: bool, emit_single: bool):
-        self.state = state
+    def __init__(self, position: list[str], state: str, bound_ms: int, by_session: bool, emit_single: bool):
+        self.position, self.state = position, state
         self.bound_ms, self.by_session, self.emit_single = bound_ms, by_session, emit_single
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -36,7 +37,9 @@ class NeighbourDecisions(StatefulProcessor):
         self.rows = handle.getListState("rows", self.state)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        new = [(r.ts, r.seq, r.entry, r.own, False, r.value) for r in rows]
+        new = [
+            (r.ts, tuple(r[p] for p in self.position), r.entry, r.own, False, r.value) for r in rows
+        ]
         yield from self._advance(key, new, timerValues.getCurrentWatermarkInMs())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
@@ -46,8 +49,9 @@ class NeighbourDecisions(StatefulProcessor):
         pass
 
     def _advance(self, key, new: list, watermark: int) -> Iterator[Row]:
-        held = [tuple(r) for r in self.rows.get()] if self.rows.exists() else []
+        held = [(r[0], tuple(r[1:-4]), *r[-4:]) for r in self.rows.get()] if self.rows.exists() else []
         rows = sorted(held + new, key=lambda r: (r[0], r[1]))
+        emitted = Row("mid", "ts", *self.position, "value", "reason")
         first_open = len(rows)
         for i, (ts, seq, entry, own, done, value) in enumerate(rows):
             after = rows[i + 1] if i + 1 < len(rows) else None
@@ -58,7 +62,7 @@ class NeighbourDecisions(StatefulProcessor):
             if not done and own and entry:
                 reason = self._reason(ts, rows[i - 1] if i else None, after)
                 if reason:
-                    yield Row(mid=key[0], ts=ts, seq=seq, value=value, reason=reason)
+                    yield emitted(key[0], ts, *seq, value, reason)
         self._keep(rows, first_open, watermark)
 
     def _reason(self, ts: int, before: tuple | None, after: tuple | None) -> str | None:
@@ -82,7 +86,7 @@ class NeighbourDecisions(StatefulProcessor):
         if not kept:
             self.rows.clear()
             return
-        self.rows.put(kept)
+        self.rows.put([(ts, *seq, *rest) for ts, seq, *rest in kept])
         if first_open < len(rows):
             due = rows[first_open][0] + self.bound_ms
             if first_open + 1 < len(rows):
@@ -114,14 +118,36 @@ def jumpouts_stream(
     )
     rows = with_slices(rows, "ts", width, bound_ms if by_session else 0, bound_ms)
     value = F.when(F.col("own") & F.col("entry"), F.col("value"))
-    rows = rows.select("mid", "slice", "event_time", "ts", "seq", "entry", "own", value.alias("value"))
-    seq = pages.schema["seq"].dataType.simpleString()
-    return rows.groupBy("mid", "slice").transformWithState(
-        NeighbourDecisions(_STATE.format(seq=seq), bound_ms, by_session, emit_single),
-        outputStructType=_OUTPUT.format(seq=seq),
+    parts = _position_parts(pages)
+    rows = rows.select(
+        "mid", "slice", "event_time", "ts", "entry", "own", value.alias("value"),
+        *[(F.unix_micros(c) if t == "timestamp" else F.col(c)).alias(p) for p, c, t in parts],
+    )
+    flat = ", ".join(f"{p} {'bigint' if t == 'timestamp' else t}" for p, _, t in parts)
+    decided = rows.groupBy("mid", "slice").transformWithState(
+        NeighbourDecisions(
+            [p for p, _, _ in parts], _STATE.format(position=flat), bound_ms, by_session, emit_single
+        ),
+        outputStructType=_OUTPUT.format(position=flat),
         outputMode="append",
         timeMode="EventTime",
     )
+    fields = [
+        (F.timestamp_micros(p) if t == "timestamp" else F.col(p)).alias(c.rpartition(".")[2])
+        for p, c, t in parts
+    ]
+    seq = F.struct(*fields).alias("seq") if len(fields) > 1 else fields[0]
+    return decided.select("mid", "ts", seq, "value", "reason")
+
+
+def _position_parts(pages: DataFrame) -> list[tuple[str, str, str]]:
+    """``(flat name, column, type)`` of the arrival position; keyed state holds flat columns."""
+    kind = pages.schema["seq"].dataType
+    if not isinstance(kind, StructType):
+        return [("position0", "seq", kind.simpleString())]
+    return [
+        (f"position{i}", f"seq.{f.name}", f.dataType.simpleString()) for i, f in enumerate(kind.fields)
+    ]
 
 
 def page_sessions_stream(
