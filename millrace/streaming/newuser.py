@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from millrace.operators.newuser import apply_first_lines, first_lines
 from millrace.streaming.ledger import Ledger
@@ -28,10 +28,15 @@ def repair_batch(
 ) -> DataFrame:
     """The batch operator, with devices of earlier batches taken from the ledger.
 
-    The devices that are new in this batch are written first and read back from the
-    written table, so the repair does not repeat the search for them.
+    The devices of this batch are found first; their measured size lets Spark broadcast
+    them to the ledger instead of shuffling every device ever met.  Those that are new
+    are written and read back, so the repair does not search for them again.
     """
-    met = ledger.before(batch_id).select(F.col(key))
-    new = first_lines(batch, key, order_by).join(met, key, "left_anti")
-    written = ledger.append(batch_id, new.select(key, "first_order"))
+    firsts = first_lines(batch, key, order_by).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        firsts.count()
+        met = ledger.before(batch_id).join(firsts.select(key), key, "left_semi").select(key)
+        written = ledger.append(batch_id, firsts.join(met, key, "left_anti"))
+    finally:
+        firsts.unpersist()
     return apply_first_lines(batch, written, key, order_by, flag)
