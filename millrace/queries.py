@@ -22,7 +22,7 @@ from millrace.plans.change_feed import (
 )
 from millrace.plans.order_wide import order_wide, order_wide_job
 from millrace.plans.page_visits import jumpouts_job, page_rows, unique_visits_job
-from millrace.session import STATE_STORE, work_dir
+from millrace.session import state_settings, work_dir
 from millrace.sinks.topics import fact_outputs, topic_files, write_quarantine, write_topics
 from millrace.streaming.dimensions import current_dim, dim_ledger
 from millrace.streaming.jumpout import jumpouts_stream, page_sessions_stream
@@ -410,11 +410,12 @@ def sink_quarantine(spark, sf):
 
 def _finish(writer: DataStreamWriter) -> None:
     """Run a streaming job over what is there now."""
-    running = writer.trigger(availableNow=True).start()
-    try:
-        running.awaitTermination()
-    finally:
-        running.stop()
+    with state_settings(SparkSession.active()):
+        running = writer.trigger(availableNow=True).start()
+        try:
+            running.awaitTermination()
+        finally:
+            running.stop()
 
 
 def _collected(spark: SparkSession, rows: DataFrame, name: str, mode: str = "append") -> DataFrame:
@@ -429,13 +430,8 @@ def _collected(spark: SparkSession, rows: DataFrame, name: str, mode: str = "app
     return spark.read.schema(rows.schema).parquet(f"{root}/rows").select(*rows.columns)
 
 
-def _streaming_settings(spark: SparkSession) -> None:
-    for key, value in {"spark.sql.session.timeZone": "UTC", **STATE_STORE}.items():
-        spark.conf.set(key, value)
-
-
 def _line_stream(spark: SparkSession, sf: str) -> DataFrame:
-    _streaming_settings(spark)
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return fx.lines_from_events(fx.table_stream(spark, sf, "events"))
 
 
@@ -502,7 +498,7 @@ def stream_session_windows(spark, sf):
 
 
 def _order_streams(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    _streaming_settings(spark)
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     province = F.lit(None).cast("bigint")
     lines = fx.order_texts_from(fx.table_stream(spark, sf, "orders"), province)
     return lines, fx.detail_texts_from(fx.table_stream(spark, sf, "lineitem"))

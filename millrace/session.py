@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -32,6 +34,26 @@ def build_session(app: str = "millrace", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+@contextmanager
+def state_settings(spark: SparkSession) -> Iterator[None]:
+    """Settings for starting a stateful query, put back afterwards.
+
+    The number of state partitions is fixed for the life of a checkpoint; one per core
+    is enough, and each one costs a commit in every micro-batch.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    partitions = min(int(spark.conf.get("spark.sql.shuffle.partitions")), cores)
+    settings = {**STATE_STORE, "spark.sql.shuffle.partitions": str(partitions)}
+    old = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in old.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under ``spark.checkpoint.dir``.
 
