@@ -19,13 +19,15 @@ def day_text(ts_ms: Column) -> Column:
 
 def time_text(raw: Column) -> Column:
     """``yyyy-MM-dd HH:mm:ss`` from such text, or from epoch milliseconds as text."""
-    # casting every text would raise and catch an error per row
-    millis = F.when(raw.rlike("^-?[0-9]+$"), raw.try_cast("bigint"))
+    # a failing cast raises and catches an error per row, so plain text is sorted out first
+    millis = F.when(F.substring(raw, 5, 1) != "-", raw.try_cast("bigint"))
     return F.coalesce(F.date_format(F.timestamp_millis(millis), "yyyy-MM-dd HH:mm:ss"), raw)
 
 
 def time_millis(text: Column) -> Column:
-    return F.unix_millis(F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss")))
+    """Epoch milliseconds of ``yyyy-MM-dd HH:mm:ss``; anything after the seconds is ignored."""
+    seconds = F.when(F.length(text) >= 19, F.substring(text, 1, 19).try_cast("timestamp"))
+    return F.unix_millis(seconds)
 
 
 def date_part(text: Column) -> Column:

@@ -49,7 +49,7 @@ class NeighbourDecisions(StatefulProcessor):
         pass
 
     def _advance(self, key, new: list, watermark: int) -> Iterator[Row]:
-        held = [(r[0], tuple(r[1:-4]), *r[-4:]) for r in self.rows.get()] if self.rows.exists() else []
+        held = [(r[0], tuple(r[1:-4]), *r[-4:]) for r in self.rows.get()]
         rows = sorted(held + new, key=lambda r: (r[0], r[1]))
         emitted = Row("mid", "ts", *self.position, "value", "reason")
         first_open = len(rows)
@@ -63,7 +63,7 @@ class NeighbourDecisions(StatefulProcessor):
                 reason = self._reason(ts, rows[i - 1] if i else None, after)
                 if reason:
                     yield emitted(key[0], ts, *seq, value, reason)
-        self._keep(rows, first_open, watermark)
+        self._keep(rows, first_open, watermark, bool(held))
 
     def _reason(self, ts: int, before: tuple | None, after: tuple | None) -> str | None:
         if self.by_session:
@@ -76,7 +76,7 @@ class NeighbourDecisions(StatefulProcessor):
             return "timeout"
         return "match" if after[2] else None
 
-    def _keep(self, rows: list, first_open: int, watermark: int) -> None:
+    def _keep(self, rows: list, first_open: int, watermark: int, held: bool) -> None:
         """Keep open rows and, as their predecessor, the last decided one."""
         kept = list(rows[first_open:])
         if first_open:
@@ -84,7 +84,8 @@ class NeighbourDecisions(StatefulProcessor):
             if kept or ts + self.bound_ms > watermark:
                 kept.insert(0, (ts, seq, entry, own, True, None))
         if not kept:
-            self.rows.clear()
+            if held:
+                self.rows.clear()
             return
         self.rows.put([(ts, *seq, *rest) for ts, seq, *rest in kept])
         if first_open < len(rows):

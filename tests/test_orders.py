@@ -18,6 +18,8 @@ def test_order_times_from_text_and_from_millis(spark):
         {"id": 2, "create_time": 1624604889000},
         {"id": 3, "create_time": "junk"},
         {"id": 4},
+        {"id": 5, "create_time": "2021-06-25 07:08:09.123"},
+        {"id": 6, "create_time": "2021-06-25"},
     )
     got = {r.id: r for r in od.parse_orders(df).collect()}
     for i in (1, 2):
@@ -26,7 +28,7 @@ def test_order_times_from_text_and_from_millis(spark):
             "2021-06-25 07:08:09", "2021-06-25", "07", 1624604889000,
         )
     assert got[1].total_amount == Decimal("1.50")
-    assert got[3].create_ts is None and got[4].create_ts is None
+    assert [got[i].create_ts for i in (3, 4, 5, 6)] == [None, None, 1624604889000, None]
 
 
 def frames(spark, orders, details):
