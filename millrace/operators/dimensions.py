@@ -52,6 +52,12 @@ def create_dim_table(
     )
 
 
+def set_table_location(spark: SparkSession, database: str, table: str, path: str) -> None:
+    name = f"{_quote(database)}.{_quote(table)}"
+    spark.sql(f"ALTER TABLE {name} SET LOCATION {_literal(path)}")
+    spark.catalog.refreshTable(name)
+
+
 def _quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
@@ -121,15 +127,21 @@ def added_columns(spec: DimSpec) -> list[str]:
     return [*spec.columns.values(), *[c for s in spec.then for c in added_columns(s)]]
 
 
-def join_dim(left: DataFrame, dims: Mapping[str, DataFrame], spec: DimSpec) -> DataFrame:
+def join_dim(
+    left: DataFrame, dims: Mapping[str, DataFrame], spec: DimSpec, keys: DataFrame | None = None
+) -> DataFrame:
     """Left join: a miss keeps the row, with nulls.
 
     There is no broadcast hint: Spark broadcasts a dimension when its measured size
-    allows and otherwise shuffles, splitting skewed keys at run time.
+    allows and otherwise shuffles, splitting skewed keys at run time.  ``keys``, a cached
+    column of all the keys of a small ``left``, reduces a large dimension first, so that
+    it is scanned but not shuffled.
     """
-    dim = _flattened(dims, spec).withColumnRenamed(spec.dim_key, "_dim_key")
-    joined = left.join(dim, left[spec.left_key].cast("string") == F.col("_dim_key"), "left")
-    return joined.drop("_dim_key")
+    left_key = left[spec.left_key].cast("string")
+    if keys is not None:
+        keys = keys.select(keys[spec.left_key].cast("string").alias("_left_key")).distinct()
+    dim = _flattened(dims, spec, keys).withColumnRenamed(spec.dim_key, "_dim_key")
+    return left.join(dim, left_key == F.col("_dim_key"), "left").drop("_dim_key")
 
 
 def join_dims(
@@ -140,10 +152,14 @@ def join_dims(
     return left
 
 
-def _flattened(dims: Mapping[str, DataFrame], spec: DimSpec) -> DataFrame:
+def _flattened(
+    dims: Mapping[str, DataFrame], spec: DimSpec, keys: DataFrame | None = None
+) -> DataFrame:
     """``dim_key`` and the added columns, with follow-up lookups already joined."""
     dim = dims[spec.dim].select(
         F.col(spec.dim_key).cast("string").alias(spec.dim_key),
         *[F.col(source).alias(target) for source, target in spec.columns.items()],
     )
+    if keys is not None:
+        dim = dim.join(keys, dim[spec.dim_key] == keys["_left_key"], "left_semi")
     return join_dims(dim, dims, spec.then)

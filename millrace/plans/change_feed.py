@@ -80,6 +80,8 @@ def change_feed_job(
     dim_database: str | None = None,
     keep_deletes: bool = False,
     read_as_insert: bool = False,
+    unrouted_topic: str = UNROUTED_TOPIC,
+    dirty_topic: str = DIRTY_TOPIC,
 ) -> DataStreamWriter:
     """Streaming: rules are read again at the start of every micro-batch.
 
@@ -100,13 +102,13 @@ def change_feed_job(
         try:
             outputs = fact_outputs(routed_records(routed, FACT)).unionByName(
                 routed.where(F.col("route") == UNROUTED).select(
-                    F.lit(UNROUTED_TOPIC).alias("topic"),
+                    F.lit(unrouted_topic).alias("topic"),
                     encode(F.col("data"), keep_nulls=True).alias("value"),
                 )
             )
             if is_text:
                 dirty = parsed.where("dirty_reason is not null")
-                outputs = outputs.unionByName(dirty.select(F.lit(DIRTY_TOPIC).alias("topic"), "value"))
+                outputs = outputs.unionByName(dirty.select(F.lit(dirty_topic).alias("topic"), "value"))
             write_topics(outputs, out_root, batch_id)
             dims.append(batch_id, dim_changes(routed))
         finally:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -38,14 +39,20 @@ def order_wide_job(
     bound_ms: int = 5_000,
     delay: str = "0 seconds",
     as_of: str | None = None,
+    topic: str = ORDER_WIDE_TOPIC,
 ) -> DataStreamWriter:
     """Streaming: stream-stream join, then lookups in snapshots of bounded age."""
     wide = interval_join_stream(order_lines, detail_lines, bound_ms, delay)
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        rows = enrich(batch, {name: s.get() for name, s in dims.items()}, as_of)
-        value = encode(F.struct(*rows.columns), keep_nulls=True)
-        outputs = rows.select(F.lit(ORDER_WIDE_TOPIC).alias("topic"), value.alias("value"))
-        write_topics(outputs, out_root, batch_id)
+        pairs = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            pairs.count()  # its measured size decides whether its keys are broadcast
+            rows = enrich(pairs, {name: s.get() for name, s in dims.items()}, as_of, narrow=True)
+            value = encode(F.struct(*rows.columns), keep_nulls=True)
+            outputs = rows.select(F.lit(topic).alias("topic"), value.alias("value"))
+            write_topics(outputs, out_root, batch_id)
+        finally:
+            pairs.unpersist()
 
     return wide.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)

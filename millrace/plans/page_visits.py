@@ -28,18 +28,25 @@ def page_rows(lines: DataFrame) -> DataFrame:
     return pages.select("value", "mid", "page_id", "last_page_id", "ts", "seq")
 
 
-def unique_visits_job(lines: DataFrame, out_root: str, checkpoint: str) -> DataStreamWriter:
+def unique_visits_job(
+    lines: DataFrame, out_root: str, checkpoint: str, topic: str = UNIQUE_VISIT_TOPIC
+) -> DataStreamWriter:
     """Streaming: the first entry line of each device and day, nulls kept."""
     visits = daily_first_visits_stream(page_rows(lines))
-    return _to_topic(visits, UNIQUE_VISIT_TOPIC, out_root, checkpoint).outputMode("update")
+    return _to_topic(visits, topic, out_root, checkpoint).outputMode("update")
 
 
 def jumpouts_job(
-    lines: DataFrame, out_root: str, checkpoint: str, bound_ms: int = 10_000, by_session: bool = False
+    lines: DataFrame,
+    out_root: str,
+    checkpoint: str,
+    bound_ms: int = 10_000,
+    by_session: bool = False,
+    topic: str = JUMP_OUT_TOPIC,
 ) -> DataStreamWriter:
     """Streaming: page lines that end a visit at once, nulls kept."""
     jumps = jumpouts_stream(page_rows(lines), bound_ms, by_session)
-    return _to_topic(jumps, JUMP_OUT_TOPIC, out_root, checkpoint).outputMode("append")
+    return _to_topic(jumps, topic, out_root, checkpoint).outputMode("append")
 
 
 def _to_topic(rows: DataFrame, topic: str, out_root: str, checkpoint: str) -> DataStreamWriter:

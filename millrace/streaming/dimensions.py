@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators.dimensions import DEFAULT_KEY, current_rows
+from millrace.operators.dimensions import DEFAULT_KEY, current_rows, set_table_location
+from millrace.sinks.topics import is_complete
 from millrace.streaming.ledger import Ledger
 
 CHANGE_SCHEMA = "sink_table string, sink_columns string, sink_pk string, seq bigint, data map<string,string>"
@@ -54,3 +55,22 @@ def current_dim(
     """Rows of one dimension as batches up to and including ``batch_id`` left it."""
     changes = ledger.upto(batch_id).where(F.col("sink_table") == table)
     return current_rows(changes, columns, key, order=("batch_id", "seq"))
+
+
+def publish_dim(
+    ledger: Ledger,
+    batch_id: int,
+    database: str,
+    table: str,
+    columns: Sequence[str],
+    key: Sequence[str] = (DEFAULT_KEY,),
+) -> None:
+    """Point the catalog table of a dimension at its rows as of ``batch_id``.
+
+    The rows are written to a folder of their own, so readers of the older version
+    are not disturbed.
+    """
+    path = f"{ledger.root.rstrip('/')}-published/{table}/upto={batch_id}"
+    if not is_complete(ledger.spark, path):
+        current_dim(ledger, batch_id, table, columns, key).write.mode("overwrite").parquet(path)
+    set_table_location(ledger.spark, database, table, path)

@@ -60,6 +60,27 @@ def test_lookup_misses_keep_the_row(spark):
     assert got == {1: ("10", "ten"), 2: ("11", None), 3: (None, None), None: (None, None)}
 
 
+def test_small_side_reduces_a_large_dimension_without_shuffling_it(spark):
+    dim = spark.range(400_000).select(F.col("id").cast("string").alias("id"), F.concat(F.lit("g"), "id").alias("gender"))
+    left = spark.createDataFrame([(5,), (5,), (7,), (-1,), (None,)], "user_id bigint").persist()
+    left.count()
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100KB")
+    try:
+        spec = DimSpec("u", "user_id", {"gender": "gender"})
+        joined = dm.join_dim(left, {"u": dim}, spec, keys=left.select("user_id"))
+        got = sorted(((r.user_id, r.gender) for r in joined.collect()), key=str)
+        assert got == sorted([(5, "g5"), (5, "g5"), (7, "g7"), (-1, None), (None, None)], key=str)
+        text = joined._jdf.queryExecution().executedPlan().toString()
+        semi = text.index("LeftSemi")
+        assert "BroadcastHashJoin" in text[semi - 80 : semi] and "Exchange" not in text[semi:].split("Range")[0].split(
+            "BroadcastExchange"
+        )[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        left.unpersist()
+
+
 def test_age_counts_years_of_365_days(spark):
     df = spark.createDataFrame([("2000-01-01",), ("2023-12-31",), ("bad",), (None,)], "b string")
     as_of = F.lit("2001-01-01 00:00:00").cast("timestamp")

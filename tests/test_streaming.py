@@ -18,7 +18,7 @@ from millrace.plans.order_wide import order_wide_job
 from millrace.plans.page_visits import jumpouts_job, page_rows, unique_visits_job
 from millrace.session import work_dir
 from millrace.sinks.topics import topic_files, write_topics
-from millrace.streaming.dimensions import current_dim, dim_ledger
+from millrace.streaming.dimensions import current_dim, dim_ledger, publish_dim
 from millrace.streaming.jumpout import jumpouts_stream, page_sessions_stream
 from millrace.streaming.ledger import Ledger
 from millrace.streaming.newuser import device_ledger
@@ -305,7 +305,10 @@ def test_change_feed_job_with_rules_added_later(spark, tmp_path):
         {"1": ("d", "y"), "2": ("b", None)},
         {"1": ("d", "y"), "2": ("b", None)},
     ]
-    assert spark.catalog.tableExists("feed_dims.dim_user_info")
+    assert spark.table("feed_dims.dim_user_info").columns == ["id", "name"]
+    for batch_id, rows in ((1, {("1", "a"), ("2", "b")}), (3, {("1", "d"), ("2", "b")})):
+        publish_dim(dims, batch_id, "feed_dims", "dim_user_info", ["id", "name"])
+        assert {tuple(r) for r in spark.table("feed_dims.dim_user_info").collect()} == rows
 
 
 def test_pulled_rules_job(spark, tmp_path):
