@@ -10,11 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MONEY = "decimal(16,2)"
-DB = "retail"
-TOPIC_PREFIX = "changes.retail"
-
+from millrace.operators.orders import MONEY
+from millrace.operators.routing import RULE_COLUMNS
 
+TOPIC_PREFIX = "changes.retail"
 BIG_TABLES = ("events", "orders", "lineitem")
 
 
@@ -142,8 +141,8 @@ def rules(spark: SparkSession) -> DataFrame:
         ("user_info", "insert", "hbase", "dim_user_info", "c_custkey,c_name,c_mktsegment", "c_custkey"),
         ("base_province", "insert", "hbase", "dim_base_province", "n_nationkey,n_name", "n_nationkey"),
     ]
-    columns = "source_table string, operate_type string, sink_type string, sink_table string, sink_columns string, sink_pk string"
-    return spark.createDataFrame(rows, columns).withColumn("sink_extend", F.lit(None).cast("string"))
+    columns = ", ".join(f"{c} string" for c in RULE_COLUMNS)
+    return spark.createDataFrame([(*r, None) for r in rows], columns)
 
 
 def rule_changes(spark: SparkSession, sf_dir: str) -> DataFrame:

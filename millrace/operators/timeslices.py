@@ -10,12 +10,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SLICES_PER_REACH = 64
+REACHES_PER_SLICE = 16
 
 
 def default_width(reach_ms: int) -> int:
-    """Copies stay near 1/64 of the rows per side."""
-    return max(SLICES_PER_REACH * reach_ms, 1)
+    """Narrow enough to spread a busy key, wide enough to copy only 1/16 of the rows per side."""
+    return max(REACHES_PER_SLICE * reach_ms, 1)
 
 
 def slice_of(ts: Column, width_ms: int) -> Column:

@@ -523,7 +523,10 @@ def stream_order_wide(spark, sf):
     finally:
         for snapshot in held.values():
             snapshot.invalidate()
-    schema = "detail_id bigint, order_id bigint, user_age int, user_gender string, spu_id bigint, tm_name string, category3_name string, spu_name string"
+    schema = (
+        "detail_id bigint, order_id bigint, user_age int, user_gender string, "
+        "spu_id bigint, tm_name string, category3_name string, spu_name string"
+    )
     value = F.from_json("value", schema)
     return topic_files(spark, f"{root}/out", "dwm_order_wide").select(value.alias("r")).select("r.*")
 

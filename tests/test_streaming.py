@@ -391,3 +391,20 @@ def test_join_state_is_evicted(spark, order_feeds):
         rows.writeStream.foreachBatch(lambda b, i: b.count()).option("checkpointLocation", work_dir(spark, "evict"))
     )
     assert q.lastProgress.stateOperators[0].numRowsTotal < 10
+
+
+def test_late_rows_are_dropped_and_counted(spark, tmp_path):
+    feed = Feed(str(tmp_path / "in"))
+    feed.add([{"seq": 1, "value": line("a", 1_000_000)}])
+    feed.add([{"seq": 2, "value": line("b", 9_000_000, "x")}])
+    feed.add([{"seq": 3, "value": line("b", 9_100_000, "x")}])  # lateness follows one batch behind
+    feed.add([{"seq": 4, "value": line("a", 1_001_000)}, {"seq": 5, "value": line("c", 9_100_000, "x")}])
+    rows = jumpouts_stream(page_rows(feed.stream(spark)), 10_000)
+    root, got = work_dir(spark, "late"), []
+    q = finish(
+        rows.writeStream.foreachBatch(lambda b, i: got.extend(r.seq for r in b.collect())).option(
+            "checkpointLocation", root
+        )
+    )
+    assert got == [1]
+    assert sum(p.stateOperators[0].numRowsDroppedByWatermark for p in q.recentProgress) == 1
