@@ -9,10 +9,12 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
-# State that outgrows memory, and only its changes written at each commit.
+# State that outgrows memory, and only its changes written at each commit; the rows of a
+# busy session are merged in each input partition before the shuffle.
 STATE_STORE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 
