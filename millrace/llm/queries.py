@@ -6,16 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe, exactdedup
+from millrace.llm import balltree, bpe, exactdedup, simhash, urlglob
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     fn.__name__: fn
     for fn in (
+        urlglob.op2_url_filter,
+        simhash.op3_simhash,
+        balltree.op7_ball_tree,
         exactdedup.op9_exact_dedup,
         bpe.op10_bpe_chunks,
     )
 }
 
 ORACLE: dict[str, str] = {
+    "op2_url_filter": urlglob.OP2_SQL,
+    "op7_ball_tree": balltree.OP7_SQL,
     "op9_exact_dedup": exactdedup.OP9_SQL,
 }
