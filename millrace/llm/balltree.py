@@ -192,9 +192,9 @@ def op7_ball_tree(spark, sf_dir: str) -> DataFrame:
 
 OP7_SQL = """
 with whole as (
-  select vec_id, list_transform(embedding, x -> floor(256 * x::double)) as v from embeddings
+  select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as v from embeddings
   where vec_id is not null and embedding is not null and len(embedding) > 0
-    and list_bool_and(list_transform(embedding, x -> x is not null and isfinite(x)))
+    and list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x)))
 ), scored as (
   select q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.v, c.v) as bigint) as score
   from whole q join whole c on c.vec_id <> q.vec_id where q.vec_id % 50 = 0
