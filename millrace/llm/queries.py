@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import balltree, bpe, exactdedup, simhash, urlglob
+from millrace.llm import balltree, bpe, exactdedup, packing, simhash, toxicity, urlglob
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     fn.__name__: fn
     for fn in (
         urlglob.op2_url_filter,
         simhash.op3_simhash,
+        toxicity.op4_toxicity,
+        packing.op6_pack,
         balltree.op7_ball_tree,
         exactdedup.op9_exact_dedup,
         bpe.op10_bpe_chunks,
