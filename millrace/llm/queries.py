@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import balltree, bpe, exactdedup, packing, simhash, toxicity, urlglob
+from millrace.llm import balltree, bpe, exactdedup, packing, quality, simhash, toxicity, urlglob
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     fn.__name__: fn
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         urlglob.op2_url_filter,
         simhash.op3_simhash,
         toxicity.op4_toxicity,
+        quality.op5_quality,
         packing.op6_pack,
         balltree.op7_ball_tree,
         exactdedup.op9_exact_dedup,

@@ -20,7 +20,9 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +33,11 @@ from millrace.llm.common import stored, texts
 
 TRAIN_ROWS = 40_000
 LEXICON = 2_000
-LEAST_DOCS = 5
-LEAST_Z = 5.0
+# A lexicon entry is a whole word, or a stem: the first letters of inflected words.
+STEMS = (4, 5, 6)
+LEAST_DOCS = 3
+LEAST_Z = 6.0
+LEAST_ODDS = 3.0
 THRESHOLD = 0.3
 # Texts shorter than this count as this long.
 NORM_WORDS = 64
@@ -49,7 +54,6 @@ LOOK_ALIKES = {
 EXCEPTIONS = ("trash can", "trash bin", "clown fish", "circus clown", "pond scum", "sore loser rule", "stupid simple")
 
 FOLD = str.maketrans(LOOK_ALIKES | dict.fromkeys("­​‌‍⁠﻿"))
-WORD = re.compile("[a-z]+")
 GAPS = re.compile("[^a-z]+")
 
 
@@ -61,18 +65,24 @@ def fold(text: str) -> str:
     return f" {GAPS.sub(' ', text.translate(FOLD)).strip()} "
 
 
+def entries(folded: str) -> set[str]:
+    """Lexicon entries that a folded text could match: words end in a space, stems do not."""
+    words = set(folded.split())
+    return {f" {w} " for w in words} | {f" {w[:n]}" for w in words for n in STEMS if len(w) > n}
+
+
 class Lexicon:
-    """Weighted words and exception phrases in one automaton."""
+    """Weighted words, weighted stems and exception phrases in one automaton."""
 
     def __init__(self, weights: dict[str, float], exceptions: tuple[str, ...] = EXCEPTIONS):
         import ahocorasick
 
         self.machine = ahocorasick.Automaton()
         for word, weight in weights.items():
-            self.machine.add_word(f" {word} ", (len(word), weight))
+            self.machine.add_word(word, (len(word), weight))
         for phrase in exceptions:
             folded = fold(phrase)
-            self.machine.add_word(folded, (len(folded) - 2, None))
+            self.machine.add_word(folded, (len(folded), None))
         self.empty = not len(self.machine)
         self.machine.make_automaton()
 
@@ -80,10 +90,23 @@ class Lexicon:
         if self.empty:
             return 0.0
         folded = fold(text)
-        found, harmless = [], []
+        best: dict[int, float] = {}
+        harmless = []
         for end, (size, weight) in self.machine.iter(folded):
-            (harmless if weight is None else found).append((end - size, end, weight))
-        total = sum(w for a, b, w in found if not any(x <= a and b <= y for x, y, _ in harmless))
+            start = end - size + 1
+            if weight is None:
+                harmless.append((start, end))
+            else:  # one match per word, the heaviest
+                best[start] = max(weight, best.get(start, weight))
+        # A word counts unless it starts inside a phrase.
+        harmless.sort()
+        starts = [a for a, _ in harmless]
+        reach = list(accumulate((b for _, b in harmless), max))
+        total = 0.0
+        for at, weight in best.items():
+            k = bisect_right(starts, at) - 1
+            if k < 0 or reach[k] <= at:
+                total += weight
         # A square root: a few matches must show in a long text too.
         return total / math.sqrt(max(NORM_WORDS, folded.count(" ") - 1) / NORM_WORDS)
 
@@ -99,17 +122,20 @@ def training(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Data
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     texts_ = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     # At most ``rows`` pairs of numbers are broadcast.
-    return texts_.join(F.broadcast(known), "doc_id").select("text", "toxic")
+    found = texts_.join(F.broadcast(known), "doc_id").select("text", "toxic")
+    # Equal texts count once, so that a group of copies does not teach its own words.
+    key = F.xxhash64(F.coalesce("text", F.lit("")))
+    return found.groupBy(key.alias("key")).agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")).drop("key")
 
 
 def learn_lexicon(rows: DataFrame, size: int = LEXICON) -> dict[str, float]:
-    """Log-odds of the words that mark toxic documents, the strongest ``size`` by z-score."""
+    """Log-odds of the words and stems that mark toxic documents, the strongest ``size`` by z-score."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts: dict[str, list[int]] = {}
             for text, toxic in zip(texts(batch), batch.column("toxic").to_pylist()):
-                for word in set(WORD.findall(fold(text))):
+                for word in entries(fold(text)):
                     counts.setdefault(word, [0, 0])[toxic] += 1
             yield pa.RecordBatch.from_pydict(
                 {
@@ -124,14 +150,16 @@ def learn_lexicon(rows: DataFrame, size: int = LEXICON) -> dict[str, float]:
         return {}
     words = rows.select("text", "toxic").mapInArrow(run, "word string, clean long, toxic long")
     odds = F.log((F.col("toxic") + 0.5) / (toxic + 1.0)) - F.log((F.col("clean") + 0.5) / (clean + 1.0))
-    error = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
+    share = (F.col("toxic") + F.col("clean")) / (toxic + clean)
+    error = F.sqrt(share * (1 - share) * (1 / toxic + 1 / clean))
+    excess = F.col("toxic") / toxic - F.col("clean") / clean
     best = (
         words.groupBy("word")
         .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
         .where(F.col("toxic") >= LEAST_DOCS)
-        .select("word", odds.alias("odds"), (odds / error).alias("z"))
-        .where((F.col("z") >= LEAST_Z) & (F.col("odds") >= 2))
-        .orderBy(F.desc("odds"), "word")
+        .select("word", odds.alias("odds"), (excess / error).alias("z"))
+        .where((F.col("z") >= LEAST_Z) & (F.col("odds") >= LEAST_ODDS))
+        .orderBy(F.desc("z"), "word")
         .limit(size)
     )
     return {r["word"]: r["odds"] for r in best.collect()}
