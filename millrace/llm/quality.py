@@ -31,6 +31,8 @@ TRAIN_ROWS = 8_192
 BITS = 14
 THRESHOLD = 0.5
 EPOCHS = 12
+# Labellers abstain on texts with fewer words.
+LEAST_WORDS = 8
 
 LETTER_RUN = re.compile(r"[^\W\d_]+")
 DIGIT_RUN = re.compile(r"\d+")
@@ -47,6 +49,8 @@ def votes(text: str) -> list[int]:
     words = text.split()
     if not words:
         return [0] * len(LABELLERS)
+    if len(words) < LEAST_WORDS:
+        return [-1] * len(LABELLERS)
     chars = sum(map(len, words))
     runs = LETTER_RUN.findall(text)
     letters = sum(map(len, runs))
@@ -54,19 +58,21 @@ def votes(text: str) -> list[int]:
     lonely = sum(1 for w in words if not any(map(str.isalnum, w)))
     short = sum(1 for w in words if len(w) <= 3 and w.isalpha() and w.islower())
     tails = sum(1 for w in words if len(w) > 1 and not w[-1].isalnum() and not w[-2].isalnum())
+    stutter = sum(map(str.__eq__, words, words[1:]))
     repeated = 1 - len(set(lines)) / len(lines)
     return [
         _band(1 - letters / chars, 0.20, 0.10),
         _band(lonely / len(words), 0.10, 0.02),
         _band(tails / len(words), 0.20, 0.05),
-        _band(-short / len(words), -0.05, -0.15) if len(words) >= 8 else -1,
+        _band(-short / len(words), -0.05, -0.15),
         _band(letters / max(1, len(runs)), 9.0, 7.0),
         _band(repeated, 0.5, 0.1) if len(lines) > 2 else -1,
+        _band(stutter / len(words), 0.15, 0.02),
     ]
 
 
 # Names of the labellers, in the order of their votes.
-LABELLERS = ("few_symbols", "few_lone_symbols", "plain_word_ends", "function_words", "word_length", "distinct_lines")
+LABELLERS = ("few_symbols", "few_lone_symbols", "plain_word_ends", "function_words", "word_length", "distinct_lines", "no_stutter")
 
 
 def estimate(patterns: list[tuple[tuple[int, ...], float]], rounds: int = 100) -> dict[tuple[int, ...], float]:
@@ -109,14 +115,16 @@ def _shape(word: str) -> str:
 def features(text: str) -> tuple[np.ndarray, np.ndarray]:
     """(slots, values) of a text, of unit length; memory grows with a block of words, not with the text."""
     counts = np.zeros(1 << BITS)
-    before, block = "^", []
+    before, last, block = "^", "", []
     for match in WORD.finditer(text):
         word = match.group()
         shape = _shape(word) if len(word) <= 64 else "long"
         block += (_slot(shape), _slot(before + " " + shape))
         if len(word) <= 4:
             block.append(_slot("=" + word.lower()))
-        before = shape
+        if word == last:
+            block.append(_slot("same"))
+        before, last = shape, word
         if len(block) > 1 << 16:
             counts += np.bincount(block, minlength=1 << BITS)
             block = []

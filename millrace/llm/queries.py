@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import balltree, bpe, exactdedup, packing, quality, simhash, toxicity, urlglob
+from millrace.llm import balltree, bpe, exactdedup, packing, pii, quality, simhash, toxicity, urlglob
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     fn.__name__: fn
@@ -17,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         quality.op5_quality,
         packing.op6_pack,
         balltree.op7_ball_tree,
+        pii.op8_pii,
         exactdedup.op9_exact_dedup,
         bpe.op10_bpe_chunks,
     )
