@@ -34,14 +34,16 @@ EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-# The same email with possessive runs: a run of name characters without an ``@`` is passed over once.
-NAME_RUN = re.compile(r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+# What follows them, written so that a long run of matching characters is passed over once.
+NAME = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
+DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+WHOLE_IP = re.compile("(?<![0-9])" + IP.pattern)
 
 TRAIN_ROWS = 8_192
 ADD = 0.95
 ROUNDS = 10
-CHAIN, SKIP = 0.2, 3.0
-TOKEN = re.compile(r"[^\s]*[0-9@][^\s]*")
+CHAIN, SKIP = 0.2, 5.0
+TOKEN = re.compile(r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+")
 EDGE = "\"'.,;:!?()[]{}<>|*#&%$"
 
 
@@ -58,10 +60,15 @@ def _digits(text: str) -> str:
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(kind, start, end) of the fixed patterns, by kind and start."""
-    spans = []
-    if "@" in text:
-        spans += [(0, m.start(), m.end()) for m in NAME_RUN.finditer(text)]
-    for m in IP.finditer(text):
+    spans, done, at = [], 0, text.find("@")
+    while at >= 0:
+        start = len(text[done:at].rstrip(NAME)) + done
+        m = DOMAIN.match(text, at) if start < at else None
+        if m:
+            spans.append((0, start, m.end()))
+        done = m.end() if m else at + 1
+        at = text.find("@", done)
+    for m in WHOLE_IP.finditer(text):
         if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in m.group().split(".")):
             spans.append((1, m.start(), m.end()))
     for m in CARD.finditer(text):

@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import balltree, bpe, exactdedup, packing, pii, quality, simhash, toxicity, urlglob
+from millrace.llm import balltree, bpe, exactdedup, packing, pii, quality, simhash, substrings, toxicity, urlglob
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     fn.__name__: fn
     for fn in (
+        substrings.op1_substring_dedup,
         urlglob.op2_url_filter,
         simhash.op3_simhash,
         toxicity.op4_toxicity,
