@@ -22,6 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,10 +30,9 @@ BLOCK = 18
 WINDOW = 2 * BLOCK - 1
 BASE = np.uint64(0x9E3779B97F4A7C15)
 # Probes per bucket, and entries that a task holds before it deals them out.
-BUCKET_ROWS = 1_500_000
+BUCKET_ROWS = 4_000_000
 FLUSH = 2_000_000
-PROBE = np.dtype([("hash", "<u4"), ("doc", "<u4"), ("pos", "<u4")])
-EXACT = np.dtype([("hash", "<u8"), ("doc", "<u4"), ("pos", "<u4")])
+PROBE, EXACT = np.dtype("<u4"), np.dtype("<u8")
 
 
 class WordHashes(dict):
@@ -86,27 +86,45 @@ class Dealer:
             hashes = np.concatenate(self.hashes)
             buckets = (hashes >> np.uint64(64 - self.bits)).astype(np.int32)
             order = np.argsort(buckets, kind="stable")
-            whole = np.empty(len(order), self.entry)
-            low = hashes if self.entry is EXACT else (hashes & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-            whole["hash"] = low[order]
-            whole["doc"] = np.concatenate(self.docs)[order]
-            whole["pos"] = np.concatenate(self.positions)[order]
+            # The top bits are the bucket; a narrow entry keeps the lowest ones.
+            hashes = hashes.astype(self.entry)[order]
+            docs, places = np.concatenate(self.docs)[order], np.concatenate(self.positions)[order]
             keys = np.array(self.keys, np.int64)
             found, starts = np.unique(buckets[order], return_index=True)
             out = []
-            for bucket, rows in zip(found.tolist(), np.split(whole, starts[1:]), strict=True):
-                used, rows["doc"] = np.unique(rows["doc"], return_inverse=True)
-                out.append((bucket, keys[used].tobytes(), rows.tobytes()))
-            yield _batch(out, ("bucket", "keys", "entries"), (pa.int32(), pa.binary(), pa.binary()))
+            for bucket, start, stop in zip(found.tolist(), starts, [*starts[1:], len(order)], strict=True):
+                used, counts = np.unique(docs[start:stop], return_counts=True)
+                steps = pack_steps(counts, places[start:stop])
+                out.append((bucket, keys[used].tobytes(), hashes[start:stop].tobytes(), steps))
+            yield _batch(out, ("bucket", "keys", "hashes", "steps"), (pa.int32(), pa.binary(), pa.binary(), pa.binary()))
         self.clear()
 
 
+def pack_steps(counts: np.ndarray, places: np.ndarray) -> bytes:
+    """Entries per text and their rising positions, as compressed byte planes of counts and steps."""
+    steps = np.diff(places.astype(np.int64), prepend=0)
+    firsts = np.cumsum(counts) - counts
+    steps[firsts] = places[firsts]
+    numbers = np.concatenate([counts, steps]).astype("<u4")
+    return zstandard.compress(numbers.view(np.uint8).reshape(-1, 4).T.tobytes(), 3)
+
+
+def unpack_steps(data: bytes, texts: int) -> tuple[np.ndarray, np.ndarray]:
+    """(counts, positions) of :func:`pack_steps`."""
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(4, -1)
+    numbers = np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
+    counts, steps = numbers[:texts], numbers[texts:]
+    total = np.cumsum(steps)
+    firsts = np.cumsum(counts) - counts
+    return counts, (total - np.repeat(total[firsts] - steps[firsts], counts)).astype(np.uint32)
+
+
 def _batch(rows: list[tuple], names: tuple, types: tuple) -> pa.RecordBatch:
     columns = zip(*rows, strict=True) if rows else [()] * len(names)
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=list(names))
 
 
-DEALT = "bucket int, keys binary, entries binary"
+DEALT = "bucket int, keys binary, hashes binary, steps binary"
 ANSWER = "key long, positions binary"
 
 
@@ -127,14 +145,16 @@ def _probes(docs: DataFrame, bits: int) -> DataFrame:
 
 
 def _windows(docs: DataFrame, bits: int) -> DataFrame:
-    """Windows of WINDOW words that hold a hit; ``docs`` has (key, text, hits)."""
+    """Windows of WINDOW words that hold a hit; ``docs`` has (doc_id, key, body, hits)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, dealer = WordHashes(), Dealer(bits, EXACT)
         for batch in batches:
-            columns = (batch.column("key").to_pylist(), batch.column("text"), batch.column("hits"))
-            for key, text, hits in zip(*columns, strict=True):
-                hashes = rolling(word_hashes(text.as_py(), known), WINDOW)
+            columns = (batch.column("key").to_pylist(), batch.column("body"), batch.column("hits"))
+            for key, body, hits in zip(*columns, strict=True):
+                if not hits.is_valid:
+                    continue
+                hashes = rolling(word_hashes(_text(body), known), WINDOW)
                 near = _cover(_positions(hits.as_py()) - (WINDOW - BLOCK), WINDOW - BLOCK + 1, len(hashes))
                 places = np.flatnonzero(near)
                 dealer.add(key, hashes[places], places)
@@ -142,7 +162,25 @@ def _windows(docs: DataFrame, bits: int) -> DataFrame:
                     yield from dealer.deal()
         yield from dealer.deal()
 
-    return docs.select("key", "text", "hits").mapInArrow(run, DEALT)
+    return docs.mapInArrow(run, DEALT)
+
+
+def _bodies(rows: DataFrame) -> DataFrame:
+    """(doc_id, key, body): the texts compressed, as they are shuffled whole."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(3).compress
+        for batch in batches:
+            bodies = pa.array([squeeze(text.as_py().encode()) for text in batch.column("text")], pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("key"), bodies], names=["doc_id", "key", "body"]
+            )
+
+    return rows.mapInArrow(run, "doc_id long, key long, body binary")
+
+
+def _text(body: pa.Scalar) -> str:
+    return zstandard.decompress(body.as_py()).decode()
 
 
 def _positions(parts: list[bytes]) -> np.ndarray:
@@ -161,21 +199,22 @@ def _answers(dealt: DataFrame, entry: np.dtype, anchored: bool) -> DataFrame:
     """Positions whose hash occurs at least twice in the bucket (``anchored``: once at a block's start)."""
 
     def run(table: pa.Table) -> pa.Table:
-        entries, keys, shift = [], [], 0
-        for key_bytes, entry_bytes in zip(table.column("keys"), table.column("entries"), strict=True):
-            own, rows = np.frombuffer(key_bytes.as_py(), "<i8"), np.frombuffer(entry_bytes.as_py(), entry).copy()
-            rows["doc"] += np.uint32(shift)
-            shift += len(own)
-            entries.append(rows)
-            keys.append(own)
-        rows, key_of = np.concatenate(entries), np.concatenate(keys)
-        _, group, sizes = np.unique(rows["hash"], return_inverse=True, return_counts=True)
+        hashes, keys, places = [], [], []
+        columns = (table.column("keys"), table.column("hashes"), table.column("steps"))
+        for own, some, steps in zip(*columns, strict=True):
+            own = np.frombuffer(own.as_py(), "<i8")
+            counts, at = unpack_steps(steps.as_py(), len(own))
+            hashes.append(np.frombuffer(some.as_py(), entry))
+            keys.append(np.repeat(own, counts))
+            places.append(at)
+        hashes, keys, places = np.concatenate(hashes), np.concatenate(keys), np.concatenate(places)
+        _, group, sizes = np.unique(hashes, return_inverse=True, return_counts=True)
         good = sizes >= 2
         if anchored:
-            good &= np.bincount(group, rows["pos"] % BLOCK == 0, len(sizes)) > 0
-        rows = rows[good[group]]
+            good &= np.bincount(group, places % BLOCK == 0, len(sizes)) > 0
+        rows = good[group]
         # Equal texts give equal answers, so each (key, position) is told once.
-        pairs = np.unique(np.rec.fromarrays([key_of[rows["doc"]], rows["pos"]], names="key,pos"))
+        pairs = np.unique(np.rec.fromarrays([keys[rows], places[rows]], names="key,pos"))
         found, starts = np.unique(pairs["key"], return_index=True)
         told = [p.astype("<u4").tobytes() for p in np.split(pairs["pos"], starts[1:])] if len(found) else []
         return pa.table([pa.array(found.astype(np.int64), pa.int64()), pa.array(told, pa.binary())], names=["key", "positions"])
@@ -196,21 +235,23 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     # About six characters a word; any estimate gives the same rows.
     bits = max(5, (size // 6 // BUCKET_ROWS).bit_length())
     hits = _by_text(_answers(_probes(rows, bits), PROBE, True), "hits")
-    windows = _windows(rows.join(hits, "key"), bits)
+    # Both joins take the same columns with the same kind of join, so that one shuffle of the texts serves both.
+    bodies = _bodies(rows)
+    windows = _windows(bodies.join(hits, "key", "left"), bits)
     repeats = _by_text(_answers(windows, EXACT, False), "repeats")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            columns = (batch.column("doc_id").to_pylist(), batch.column("text"), batch.column("repeats"))
+            columns = (batch.column("doc_id").to_pylist(), batch.column("body"), batch.column("repeats"))
             for doc_id, value, found in zip(*columns, strict=True):
-                words = value.as_py().encode().split()
+                words = zstandard.decompress(value.as_py()).split()
                 gone = _cover(_positions(found.as_py() or []), WINDOW, len(words))
                 kept = b" ".join(w for w, out_ in zip(words, gone.tolist(), strict=True) if not out_)
                 out.append((doc_id, len(words), int(gone.sum()), kept.decode()))
             yield _batch(out, ("doc_id", "n_words", "n_removed", "kept"), (pa.int64(), pa.int64(), pa.int64(), pa.string()))
 
-    return rows.join(repeats, "key", "left").select("doc_id", "text", "repeats").mapInArrow(
+    return bodies.join(repeats, "key", "left").mapInArrow(
         run, "doc_id long, n_words long, n_removed long, kept string"
     )
 
