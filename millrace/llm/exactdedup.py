@@ -39,7 +39,8 @@ def _winners(slim: DataFrame, slots: int) -> DataFrame:
         .groupBy("part")
         .agg(F.expr(f"approx_top_k_accumulate(item, {slots})").alias("summary"))
     )
-    merged = partial.agg(F.expr(f"approx_top_k_combine(summary, {slots})").alias("summary"))
+    # Grouped by a constant: an ungrouped combine fails on partitions without rows.
+    merged = partial.groupBy(F.lit(0).alias("all")).agg(F.expr(f"approx_top_k_combine(summary, {slots})").alias("summary"))
     named = merged.select(F.explode(F.expr(f"approx_top_k_estimate(summary, {slots // 4})")).alias("found")).select(
         F.col("found.item").alias("item")
     )
