@@ -151,7 +151,8 @@ def learn_lexicon(rows: DataFrame, size: int = LEXICON) -> dict[str, float]:
     words = rows.select("text", "toxic").mapInArrow(run, "word string, clean long, toxic long")
     odds = F.log((F.col("toxic") + 0.5) / (toxic + 1.0)) - F.log((F.col("clean") + 0.5) / (clean + 1.0))
     share = (F.col("toxic") + F.col("clean")) / (toxic + clean)
-    error = F.sqrt(share * (1 - share) * (1 / toxic + 1 / clean))
+    # Never zero: a word may stand in every text.
+    error = F.greatest(F.sqrt(share * (1 - share) * (1 / toxic + 1 / clean)), F.lit(1e-9))
     excess = F.col("toxic") / toxic - F.col("clean") / clean
     best = (
         words.groupBy("word")
