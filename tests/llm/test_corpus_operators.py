@@ -22,7 +22,7 @@ def _docs():
     passage = text(60)
     texts = [None, "", " \n ", "one", text(20), text(36), passage, text(9) + " " + passage + "\t" + text(50)]
     texts += [text(200) for _ in range(12)] + [passage + " " + text(3)] * 3 + [passage] * 2 + [text(9000)]
-    texts += ["mail a.b@c.de and 10.0.0.1 or 4111111111111111 call +1 (789) 555-8497.", "4111_1111_1111_1111 4111111111111111"]
+    texts += ["mail a.b@c.de and 10.0.0.1 or 4111111111111111 call +1 (789) 555-8497.", "4111_1111_1111_1111 or 4111111111111111"]
     rows = [(i, t) for i, t in enumerate(texts)] + [(None, passage), (None, None), (4, texts[4])]
     return [(i, t, "en", "s", None, "r", 1, "d") for i, t in rows]
 
