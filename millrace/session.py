@@ -59,10 +59,12 @@ def state_settings(spark: SparkSession) -> Iterator[None]:
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under ``spark.checkpoint.dir``.
 
-    That setting names storage every executor can reach.  Only where it is unset
-    (single-machine tests) does a local temporary folder stand in for it.
+    That setting names storage every executor can reach.  Where it is unset, a local
+    temporary folder stands in for it on a single machine; on a cluster that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to storage that every executor can reach")
         base = tempfile.mkdtemp(prefix="millrace-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
