@@ -26,7 +26,7 @@ def topic_changes(
     ``startup="initial"`` starts from the retained beginning, which holds the snapshot
     rows (type ``read``) followed by the changes.
     """
-    records = topic_lines(spark, servers, topic_pattern, streaming, startup, options=options)
+    records = topic_lines(spark, servers, topic_pattern, streaming, startup, options=options, pattern=True)
     return only_tables(normalise(records), tables)
 
 

@@ -18,14 +18,17 @@ def topic_lines(
     startup: str = "latest",
     group_id: str | None = None,
     options: Mapping[str, str] | None = None,
+    pattern: bool = False,
 ) -> DataFrame:
     """``topic, value, seq`` of a Kafka topic; ``seq`` is the arrival order.
 
+    With ``pattern``, ``topic`` is a regular expression over topic names.
+
     ``startup`` is ``latest`` (new records only) or ``initial`` (everything retained);
     a restarted query goes on from its checkpoint instead.  Needs the Kafka connector
     on the class path.
     """
-    settings = {"kafka.bootstrap.servers": servers, "subscribe": topic, **(options or {})}
+    settings = {"kafka.bootstrap.servers": servers, **subscription(topic, pattern), **(options or {})}
     if streaming or startup == "initial":
         settings.setdefault("startingOffsets", starting_offsets(startup))
     if group_id:
@@ -39,6 +42,11 @@ def topic_lines(
     )
 
 
+def subscription(topic: str, pattern: bool = False) -> dict[str, str]:
+    """Exactly one way to subscribe, as the source rejects several."""
+    return {"subscribePattern" if pattern else "subscribe": topic}
+
+
 def starting_offsets(startup: str) -> str:
     return {"latest": "latest", "initial": "earliest"}[startup]
 

@@ -62,3 +62,10 @@ def test_quarantine(spark, tmp_path):
         write_quarantine(dirty, str(tmp_path / "q"), 3)
     got = spark.read.parquet(str(tmp_path / "q")).collect()
     assert [(r.value, r.reason, r.batch_id) for r in got] == [("x", "r", 3)]
+
+
+def test_topic_names_and_patterns_set_one_subscription():
+    from millrace.sources.text import subscription
+
+    assert subscription("ods") == {"subscribe": "ods"}
+    assert subscription("ods_.*", pattern=True) == {"subscribePattern": "ods_.*"}
