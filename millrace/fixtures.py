@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.orders import MONEY
 from millrace.operators.routing import RULE_COLUMNS
+from millrace.session import work_dir
 
 TOPIC_PREFIX = "changes.retail"
 BIG_TABLES = ("events", "orders", "lineitem")
@@ -29,6 +30,19 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _spread(stream.parquet(sf_dir), df, name)
 
 
+def sliced_stream(spark: SparkSession, sf_dir: str, name: str, by: str, slices: int = 4) -> DataFrame:
+    """A test table as a stream of several micro-batches, in order of a column."""
+    df, root = spark.read.parquet(f"{sf_dir}/{name}.parquet"), work_dir(spark, f"slices-{name}")
+    shares = ",".join(str(k / slices) for k in range(1, slices))
+    limits = df.agg(F.expr(f"approx_percentile({by}, array({shares}))")).first()[0]
+    place = sum((F.col(by) >= F.lit(limit)).cast("int") for limit in limits or []) + F.lit(0)
+    # one after the other, as the source takes files in the order of their times
+    for k in range(slices):
+        df.where(place == k).coalesce(1).write.parquet(f"{root}/slice={k}")
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1)
+    return stream.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(root)
+
+
 def _spread(df: DataFrame, sized: DataFrame, name: str) -> DataFrame:
     """Use all cores on a table that is stored as one row group.
 

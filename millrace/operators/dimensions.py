@@ -10,9 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.jsontext import as_text
-from millrace.operators.routing import DIM
-
-DEFAULT_KEY = "id"
+from millrace.operators.routing import DEFAULT_KEY, DIM
 
 
 # --- schema from a rule ---------------------------------------------------------------

@@ -22,6 +22,7 @@ RULE_COLUMNS = (
 RULE_KEY = ("source_table", "operate_type")
 
 MAX_BROADCAST_RULES = 50_000
+DEFAULT_KEY = "id"  # of a dimension whose rule names none
 
 
 def latest_rules(rule_changes: DataFrame, order: str = "seq") -> DataFrame:
@@ -88,7 +89,10 @@ def route_changes(changes: DataFrame, rules: DataFrame) -> DataFrame:
         .when(F.col("sink_type") == DIM_SINK_TYPE, DIM)
         .otherwise(FACT)
     )
-    columns = F.split("sink_columns", ",")
+    names = F.split(F.coalesce(F.nullif(F.trim("sink_pk"), F.lit("")), F.lit(DEFAULT_KEY)), ",")
+    listed = F.split("sink_columns", ",")
+    # a dimension row needs its key, listed or not
+    columns = F.when(F.col("route") == DIM, F.concat(listed, F.transform(names, F.trim))).otherwise(listed)
     pruned = F.map_filter(F.col("data"), lambda k, v: F.array_contains(columns, k))
     return matched.withColumn("route", route).withColumn(
         "data", F.when(F.col("route") == UNROUTED, F.col("data")).otherwise(pruned)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -21,13 +21,14 @@ from millrace.operators.dimensions import create_dim_table, dim_changes
 from millrace.operators.routing import (
     DIM_SINK_TYPE,
     FACT,
+    RULE_COLUMNS,
     UNROUTED,
     bounded_rules,
     route_changes,
     routed_records,
     tag_by_pulled_rules,
 )
-from millrace.sinks.topics import fact_outputs, write_topics
+from millrace.sinks.topics import fact_outputs, is_complete, write_topics
 from millrace.streaming.ledger import Ledger
 from millrace.streaming.snapshot import Snapshot
 
@@ -71,6 +72,15 @@ def create_dim_tables(rules: DataFrame, database: str) -> None:
         )
 
 
+def batch_rules(load_rules: Callable[[], DataFrame], root: str, batch_id: int) -> DataFrame:
+    """The rules of a micro-batch, read once and kept, so that a replay routes by the same ones."""
+    spark, path = SparkSession.active(), f"{root.rstrip('/')}/batch_id={batch_id}"
+    if not is_complete(spark, path):
+        texts = [F.col(c).cast("string").alias(c) for c in RULE_COLUMNS]
+        load_rules().select(*texts).write.mode("overwrite").parquet(path)
+    return spark.read.schema(", ".join(f"{c} string" for c in RULE_COLUMNS)).parquet(path)
+
+
 def change_feed_job(
     changes: DataFrame,
     load_rules: Callable[[], DataFrame],
@@ -87,12 +97,13 @@ def change_feed_job(
 
     ``changes`` holds envelope columns and ``seq``, or ``value`` text and ``seq``; text
     that is not one JSON object goes to the dirty topic.  A rule takes effect with the
-    next batch; rows no rule matches are kept in the audit topic.
+    next batch, whose rules are kept under ``out_root`` + ``-rules``; rows no rule matches
+    are kept in the audit topic with their whole envelope, to be fed in again once a rule exists.
     """
     is_text = "value" in changes.columns and "data" not in changes.columns
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        rules = load_rules()
+        rules = batch_rules(load_rules, f"{out_root.rstrip('/')}-rules", batch_id)
         if dim_database:
             create_dim_tables(rules, dim_database)
         parsed = decode_envelope(batch, keep_dirty=True) if is_text else batch
@@ -100,11 +111,10 @@ def change_feed_job(
         routed = changes_routed(parsed, rules, keep_deletes, read_as_insert)
         routed = routed.persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            audit = routed.where(F.col("route") == UNROUTED)
+            audit = encode_envelope(audit.withColumn("data", encode(F.col("data"), keep_nulls=True)))
             outputs = fact_outputs(routed_records(routed, FACT)).unionByName(
-                routed.where(F.col("route") == UNROUTED).select(
-                    F.lit(unrouted_topic).alias("topic"),
-                    encode(F.col("data"), keep_nulls=True).alias("value"),
-                )
+                audit.select(F.lit(unrouted_topic).alias("topic"), "value")
             )
             if is_text:
                 dirty = parsed.where("dirty_reason is not null")

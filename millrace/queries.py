@@ -408,12 +408,13 @@ def sink_quarantine(spark, sf):
 # --- streaming ----------------------------------------------------------------------
 
 
-def _finish(writer: DataStreamWriter) -> None:
-    """Run a streaming job over what is there now."""
+def _finish(writer: DataStreamWriter) -> int:
+    """Run a streaming job over what is there now; the number of its last micro-batch."""
     with state_settings(SparkSession.active()):
         running = writer.trigger(availableNow=True).start()
         try:
             running.awaitTermination()
+            return running.lastProgress["batchId"] if running.lastProgress else 0
         finally:
             running.stop()
 
@@ -435,6 +436,12 @@ def _line_stream(spark: SparkSession, sf: str) -> DataFrame:
     return fx.lines_from_events(fx.table_stream(spark, sf, "events"))
 
 
+def _sliced_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """The log lines in several micro-batches, in order of time."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    return fx.lines_from_events(fx.sliced_stream(spark, sf, "events", "ts"))
+
+
 @query
 def stream_isnew(spark, sf):
     """The streaming log job: repaired lines per topic."""
@@ -450,10 +457,22 @@ def stream_isnew(spark, sf):
 
 @query
 def stream_uv_daily(spark, sf):
-    rows = daily_first_visits_stream(page_rows(_line_stream(spark, sf)))
+    rows = daily_first_visits_stream(page_rows(_sliced_lines(spark, sf)))
     return _collected(spark, rows.select("mid", "day", "seq", "ts"), "uv", "update")
 
 
+@query
+def stream_uv_daily_local(spark, sf):
+    """The same with the days of another time zone."""
+    pages = page_rows(_sliced_lines(spark, sf))
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Shanghai")
+    try:
+        rows = daily_first_visits_stream(pages)
+        return _collected(spark, rows.select("mid", "day", "seq", "ts"), "uv-local", "update")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 @query
 def stream_uv_job(spark, sf):
     """Two chained jobs: raw lines to the page topic, page topic to unique visits."""
@@ -552,8 +571,11 @@ def stream_route(spark, sf):
     )
     _finish(job)
     rows = spark.read.schema("topic string, value string").parquet(f"{root}/facts")
-    key = F.get_json_object("value", "$.o_orderkey").cast("bigint")
-    return rows.select("topic", key.alias("o_orderkey"))
+    key = F.coalesce(
+        F.get_json_object("value", "$.o_orderkey"),
+        F.get_json_object(F.get_json_object("value", "$.data"), "$.o_orderkey"),
+    )
+    return rows.select("topic", key.cast("bigint").alias("o_orderkey"))
 
 
 @query
@@ -561,13 +583,13 @@ def stream_dim_upsert(spark, sf):
     """The streaming change feed job: the customer dimension its upserts left."""
     root = work_dir(spark, "dim-feed")
     dims = dim_ledger(spark, f"{root}/dims")
-    records = fx.customer_changes(fx.table_stream(spark, sf, "customer"))
+    records = fx.customer_changes(fx.sliced_stream(spark, sf, "customer", "c_custkey"))
     job = change_feed_job(
         changefeed.normalise(records), lambda: fx.rules(spark), f"{root}/facts", dims, f"{root}/checkpoint"
     )
-    _finish(job)
+    last = _finish(job)
     columns = ["c_custkey", "c_name", "c_mktsegment"]
-    return current_dim(dims, 0, "dim_user_info", columns, ["c_custkey"])
+    return current_dim(dims, last, "dim_user_info", columns, ["c_custkey"])
 
 
 @query

@@ -11,12 +11,16 @@ from millrace.operators.dimensions import DEFAULT_KEY, current_rows, set_table_l
 from millrace.sinks.topics import is_complete
 from millrace.streaming.ledger import Ledger
 
-CHANGE_SCHEMA = "sink_table string, sink_columns string, sink_pk string, seq bigint, data map<string,string>"
+CHANGE_SCHEMA = "sink_table string, sink_columns string, sink_pk string, seq {order}, data map<string,string>"
 
 
-def dim_ledger(spark: SparkSession, root: str, every: int = 100) -> Ledger:
-    """Upserts of all dimension tables, compacted to one per key and generation."""
-    return Ledger(spark, root, CHANGE_SCHEMA, compact_upserts, every)
+def dim_ledger(spark: SparkSession, root: str, every: int = 100, order_type: str = "bigint") -> Ledger:
+    """Upserts of all dimension tables, compacted to one per key and generation.
+
+    ``order_type`` is the type of ``seq``: for topics
+    ``struct<timestamp:timestamp,partition:int,offset:bigint>``.
+    """
+    return Ledger(spark, root, CHANGE_SCHEMA.format(order=order_type), compact_upserts, every)
 
 
 def compact_upserts(changes: DataFrame) -> DataFrame:
@@ -29,7 +33,8 @@ def compact_upserts(changes: DataFrame) -> DataFrame:
         key.alias("_key"),
         "batch_id",
         "seq",
-        F.explode(F.split("sink_columns", ",")).alias("_column"),
+        # a key that the rule does not list must survive too
+        F.explode(F.array_union(F.split("sink_columns", ","), F.transform(names, F.trim))).alias("_column"),
         "data",
     ).withColumn("_value", F.try_element_at("data", F.col("_column")))
     last = cells.groupBy("sink_table", "sink_pk", "_key", "_column").agg(

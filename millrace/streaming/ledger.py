@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.sinks.topics import is_complete, path_exists
 
@@ -33,6 +34,12 @@ class Ledger:
     def append(self, batch_id: int, rows: DataFrame) -> DataFrame:
         """Write the increment of a batch once and return it as read back."""
         path = f"{self._generation(batch_id)}/batch_id={batch_id}"
+        given = {f.name: f.dataType.simpleString() for f in rows.schema}
+        for column in T.StructType.fromDDL(self.schema):
+            wanted = column.dataType.simpleString()
+            # such rows could be written, but never read again
+            if given.get(column.name) != wanted:
+                raise ValueError(f"{column.name} is {given.get(column.name)}, the ledger holds {wanted}")
         if not is_complete(self.spark, path):
             rows.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(self.schema).parquet(path)

@@ -3,6 +3,7 @@
 import json
 import os
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -145,6 +146,47 @@ def test_unique_visits_over_days_and_restarts(spark, tmp_path):
     assert bag(got.select("mid", "day", "seq", "ts")) == bag(want.select("mid", "day", "seq", "ts"))
 
 
+def test_unique_visits_use_the_days_of_the_session_zone(spark, tmp_path):
+    hour = DAY // 24
+    times = [("m", 2 * hour), ("m", 20 * hour), ("n", 17 * hour), ("n", DAY + 3 * hour)]
+    feed = Feed(str(tmp_path / "in"))
+    for i, (mid, ts) in enumerate(times):
+        feed.add([{"seq": i, "value": line(mid, ts)}])
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Shanghai")
+    try:
+        got = bag(collect(spark, daily_first_visits_stream(page_rows(feed.stream(spark))), "update").select("mid", "day", "seq"))
+        want = bag(daily_first_visits(page_rows(feed.batch(spark))).select("mid", "day", "seq"))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == want == [("m", "1970-01-01", "0"), ("m", "1970-01-02", "1"), ("n", "1970-01-02", "2")]
+
+
+def test_one_wrong_clock_costs_no_other_device_its_visit(spark, tmp_path):
+    now = int(time.time() * 1000)
+    feed = Feed(str(tmp_path / "in"))
+    for i, (mid, ts) in enumerate([("a", now), ("wrong", 4_070_908_800_000), ("b", now), ("c", now), ("a", now + 1)]):
+        feed.add([{"seq": i, "value": line(mid, ts)}])
+    got = collect(spark, daily_first_visits_stream(page_rows(feed.stream(spark))), "update")
+    assert bag(got.select("mid", "seq")) == [("a", "0"), ("b", "2"), ("c", "3"), ("wrong", "1")]
+
+
+def test_dimension_ledger_with_topic_positions_and_an_unlisted_key(spark, tmp_path):
+    feed, root = Feed(str(tmp_path / "in"), ENVELOPE), work_dir(spark, "feed")
+    position = "struct<timestamp:timestamp,partition:int,offset:bigint>"
+    dims = dim_ledger(spark, f"{root}/dims", every=2, order_type=position)
+    rules = rule_frame(spark, ("user_info", "insert", "hbase", "dim_user_info", "name", "id", None))
+    seq = F.struct(F.timestamp_millis("seq").alias("timestamp"), F.lit(0).alias("partition"), F.col("seq").alias("offset"))
+    for n, (id_, name) in enumerate([(1, "a"), (2, "b"), (1, "c"), (2, "d"), (3, "e")]):
+        feed.add([change(n, "insert", "user_info", id=id_, name=name)])
+    changes = feed.stream(spark).withColumn("seq", seq)
+    finish(change_feed_job(changes, lambda: rules, f"{root}/out", dims, f"{root}/ck"))
+    rows = current_dim(dims, 4, "dim_user_info", ["id", "name"]).collect()
+    assert {tuple(r) for r in rows} == {("1", "c"), ("2", "d"), ("3", "e")}
+    plain = dim_ledger(spark, f"{root}/plain")
+    with pytest.raises(ValueError, match="seq"):
+        plain.append(0, dims.upto(4).drop("batch_id"))
+
+
 def test_log_job_restart_and_replay(spark, tmp_path):
     rng = random.Random(4)
     rows = [{"seq": i, "value": line(f"m{rng.randrange(9)}", i, None, rng.choice("01"))} for i in range(120)]
@@ -290,8 +332,11 @@ def test_change_feed_job_with_rules_added_later(spark, tmp_path):
     feed.add([change(8, "delete", "user_info")])
     run()
     out = spark.read.schema("topic string, value string").parquet(f"{root}/out")
+    unrouted = next(r.value for r in out.collect() if r.topic == "unrouted_changes")
+    kept = json.loads(unrouted)
+    assert (kept["type"], kept["tableName"], kept["data"]) == ("insert", "order_info", '{"id":9,"total":1}')
     assert {(r.topic, r.value) for r in out.collect()} == {
-        ("unrouted_changes", '{"id":9,"total":1}'),
+        ("unrouted_changes", unrouted),
         ("dwd_order_info", '{"id":10,"total":null}'),
     }
     columns = ["id", "name", "city"]
