@@ -23,12 +23,15 @@ _RECORD = f"struct<{_IMAGES},payload:struct<{_IMAGES}>>"
 ENVELOPE = ("type", "data", "before", "database", "tableName")
 
 
-def normalise(records: DataFrame, topic: str = "topic", value: str = "value") -> DataFrame:
+def normalise(
+    records: DataFrame, topic: str = "topic", value: str = "value", keep_dirty: bool = False
+) -> DataFrame:
     """Change records -> envelope columns ``type, data, before, database, tableName``.
 
     ``topic`` is ``server.database.table``; ``value`` is the record as JSON with
     ``op, before, after``, bare or under ``payload``.  Absent images become ``{}``;
-    null columns inside an image are kept.  Other columns pass through.
+    null columns inside an image are kept.  Other columns pass through.  With ``keep_dirty``
+    records that are no JSON text or name no operation keep their text and get a ``dirty_reason``.
     """
     parsed = with_parsed(records, F.array(F.from_json(F.col(value), _RECORD)), "_r")
     parsed = parsed.withColumn(
@@ -42,8 +45,11 @@ def normalise(records: DataFrame, topic: str = "topic", value: str = "value") ->
     op = F.lower("_r.op")
     codes = F.create_map(*[F.lit(x) for pair in OPERATIONS.items() for x in pair])
     passed = [c for c in records.columns if c not in (topic, value)]
+    reason = F.when(F.try_parse_json(value).isNull(), "not_json").when(op.isNull(), "no_operation")
+    dirty = [F.when(reason.isNotNull(), F.col(value)).alias(value), reason.alias("dirty_reason")]
     return parsed.select(
         *passed,
+        *(dirty if keep_dirty else []),
         F.coalesce(codes[op], op).alias("type"),
         _image("_r.after").alias("data"),
         _image("_r.before").alias("before"),

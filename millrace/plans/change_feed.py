@@ -43,13 +43,22 @@ def ods_job(
     checkpoint: str,
     tables: Sequence[str] = (),
     topic: str = ODS_TOPIC,
+    dirty_topic: str = DIRTY_TOPIC,
 ) -> DataStreamWriter:
-    """Streaming: change records of the given ``db.table`` names -> envelope text in one topic."""
+    """Streaming: change records of the given ``db.table`` names -> envelope text in one topic.
+
+    Records that cannot be read go to the dirty topic as they came.
+    """
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        envelopes = encode_envelope(only_tables(normalise(batch), tables))
-        passed = [c for c in ("seq",) if c in envelopes.columns]
-        write_topics(envelopes.select(F.lit(topic).alias("topic"), "value", *passed), out_root, batch_id)
+        changes = only_tables(normalise(batch, keep_dirty=True), tables)
+        dirty, text = F.col("dirty_reason").isNotNull(), F.col("value")
+        envelopes = encode_envelope(changes.withColumn("_text", text)).select(
+            F.when(dirty, dirty_topic).otherwise(topic).alias("topic"),
+            F.when(dirty, F.col("_text")).otherwise(F.col("value")).alias("value"),
+            *[c for c in ("seq",) if c in changes.columns],
+        )
+        write_topics(envelopes, out_root, batch_id)
 
     return records.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
 

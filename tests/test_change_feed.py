@@ -141,3 +141,17 @@ def test_many_rules_are_not_broadcast_blindly(spark):
     )
     assert "rightHint" not in routing.bounded_rules(many, limit=10)._jdf.queryExecution().analyzed().toString()
     assert "broadcast" in routing.bounded_rules(many, limit=20)._jdf.queryExecution().analyzed().toString()
+
+
+def test_unreadable_records_keep_their_text(spark):
+    good = '{"op":"c","before":null,"after":{"id":1}}'
+    bad = ['{"op":"c","after":{"id":2', '{"after":{"id":3}}', "null", ""]
+    rows = [(n, "x.retail.t", value) for n, value in enumerate([good, *bad])]
+    got = cf.normalise(spark.createDataFrame(rows, "seq int, topic string, value string"), keep_dirty=True)
+    assert {r.seq: (r.dirty_reason, r.value) for r in got.collect()} == {
+        0: (None, None),
+        1: ("not_json", bad[0]),
+        2: ("no_operation", bad[1]),
+        3: ("no_operation", "null"),
+        4: ("not_json", ""),
+    }
