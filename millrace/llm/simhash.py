@@ -39,13 +39,12 @@ SPLIT = 4096
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
-def fingerprint(text: str, words: int = SHINGLE, block: int = 1 << 16) -> int:
-    """64 bits, each set if it is set in over half of the shingles' hashes."""
+def shingle_hashes(text: str, words: int, block: int = 1 << 16) -> Iterator[np.ndarray]:
+    """The hashes of a text's shingles, at most ``block`` at a time; a text of fewer words is one shingle."""
     parts = text.encode().translate(LOWER).split()
     if not parts:
-        return 0
+        return
     count = max(1, len(parts) - words + 1)
-    sums = np.zeros(64, np.int64)
     for start in range(0, count, block):
         stop = min(count, start + block)
         some = parts[start : stop + words - 1]
@@ -54,9 +53,16 @@ def fingerprint(text: str, words: int = SHINGLE, block: int = 1 << 16) -> int:
         begins = [0, *(ends[:-1] + 1).tolist()]
         ends = ends[min(words, len(some)) - 1 :].tolist()
         digest = xxhash.xxh64_intdigest
-        hashes = np.array([digest(line[a:b], 42) for a, b in zip(begins, ends, strict=False)], np.uint64)
+        yield np.array([digest(line[a:b], 42) for a, b in zip(begins, ends, strict=False)], np.uint64)
+
+
+def fingerprint(text: str, words: int = SHINGLE, block: int = 1 << 16) -> int:
+    """64 bits, each set if it is set in over half of the shingles' hashes."""
+    sums, count = np.zeros(64, np.int64), 0
+    for hashes in shingle_hashes(text, words, block):
         bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         sums += bits.sum(axis=0, dtype=np.int64)
+        count += len(hashes)
     return sum(1 << k for k in np.flatnonzero(2 * sums > count).tolist())
 
 
@@ -176,10 +182,8 @@ def report(docs: DataFrame) -> DataFrame:
     )
 
 
-def near_distinct(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row of each component: that of its smallest doc_id (then smallest text hash)."""
-    prints = stored(fingerprints(docs), "fingerprints")
-    stay = _by_print(prints).select("first.doc_id", "first.text_key").distinct()
+def keep_rows(docs: DataFrame, stay: DataFrame) -> DataFrame:
+    """One row of ``docs`` for each (doc_id, text_key) of ``stay``."""
     rows = packed(docs).select("doc_id", F.xxhash64("text").alias("text_key"), ROW).alias("r")
     same = F.expr("r.doc_id <=> s.doc_id and r.text_key = s.text_key")
     kept = rows.join(stay.alias("s"), same, "left_semi")
@@ -187,5 +191,11 @@ def near_distinct(docs: DataFrame) -> DataFrame:
     return kept.withColumn("place", F.row_number().over(one)).where("place = 1").select(f"{ROW}.*")
 
 
+def near_distinct(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of each component: that of its smallest doc_id (then smallest text hash)."""
+    prints = stored(fingerprints(docs), "fingerprints")
+    return keep_rows(docs, _by_print(prints).select("first.doc_id", "first.text_key").distinct())
+
+
 def op3_simhash(spark, sf_dir: str) -> DataFrame:
     return report(spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -132,6 +132,51 @@ def test_simhash_large_postings_lose_no_pair(spark):
     assert classes(4) == classes(100_000)
 
 
+def test_near_dedup_stage_equals_brute_force(spark):
+    rng = random.Random(9)
+    vocabulary = [f"w{n}" for n in range(500)]
+    texts = [None, "", " ", "one two", "One  TWO", "one"]
+    for size in (60, 200, 800):
+        for share in (0.78, 0.8, 0.82, 0.85, 0.9, 0.95):
+            base = [rng.choice(vocabulary) for _ in range(size)]
+            # So many words at the end are new that about this share of the shingles is common; spread edits follow.
+            cut = max(1, round((1 - share) / (1 + share) * size))
+            copy = base[:-cut] + [f"n{rng.randrange(10**6)}" for _ in range(cut)]
+            spread = list(base)
+            for place in rng.sample(range(size), max(1, cut // 5)):
+                spread[place] = "changed"
+            texts += [" ".join(x) for x in (base, copy, spread)]
+    common = [rng.choice(vocabulary) for _ in range(50)]
+    # Not all near copies of each other: their postings need more than the first comparison.
+    texts += [" ".join(common + [rng.choice(vocabulary) for _ in range(n % 16)]) for n in range(90)]
+    rows = [(n, t) for n, t in enumerate(texts)] + [(None, texts[6]), (7, texts[7])]
+
+    def shingles(text):
+        words = (text or "").lower().split()
+        return {tuple(words[p : p + 5]) for p in range(max(1, len(words) - 4))} if words else set()
+
+    sets, root, below = [shingles(t) for _, t in rows], list(range(len(rows))), 0
+
+    def find(n):
+        return n if root[n] == n else find(root[n])
+
+    for a in range(len(rows)):
+        for b in range(a):
+            union = len(sets[a] | sets[b])
+            if 5 * len(sets[a] & sets[b]) >= 4 * union:
+                root[find(a)] = find(b)
+                below += (simhash.fingerprint(rows[a][1] or "") ^ simhash.fingerprint(rows[b][1] or "")).bit_count() > 3
+    assert below > 20
+    least = {}
+    for n, (doc_id, _) in enumerate(rows):
+        if doc_id is not None:
+            least[find(n)] = min(doc_id, least.get(find(n), doc_id))
+    frame = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, node int").repartition(3)
+    got = corpus_pipeline.near_distinct(spark, frame, "")
+    assert got.columns == frame.columns
+    assert sorted(r["doc_id"] for r in got.collect()) == sorted(least.values())
+
+
 def test_toxicity_learns_and_folds(spark, empty):
     rng = random.Random(2)
     rows = [(i, " ".join(rng.choice(["day", "tree", "river", "walk"]) for _ in range(20)) + (" grobnikel" if i % 5 == 0 else "")) for i in range(400)]
