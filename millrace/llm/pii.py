@@ -155,7 +155,7 @@ def links(text: str, spots: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarr
 def added_spans(text: str, base: list[tuple[int, int, int]], weights: dict[str, list[float]]) -> list[tuple[int, int, int]]:
     spots = tokens(text)
     labels = clamped(spots, base)
-    if not spots or all(labels) or not any(labels):
+    if not spots or all(labels):
         return []
     unknown = weights.get("", [0.0] * (1 + len(KINDS)))
     nodes = np.array([weights.get(shape(text[a:b]), unknown) for a, b in spots])
@@ -172,7 +172,7 @@ def added_spans(text: str, base: list[tuple[int, int, int]], weights: dict[str,
 def all_spans(text: str, weights: dict[str, list[float]]) -> tuple[list, list]:
     """(base spans, all spans), both by kind and start."""
     base = base_spans(text)
-    return base, sorted(base + added_spans(text, base, weights)) if base else base
+    return base, sorted(base + added_spans(text, base, weights))
 
 
 def learn(docs: DataFrame, rows: int = TRAIN_ROWS) -> dict[str, list[float]]:

@@ -288,6 +288,16 @@ def test_pii_base_spans_equal_plain_patterns(docs, empty):
     assert pii.redact(docs).columns == docs.columns and pii.find(empty).count() == 0
 
 
+def test_pii_field_runs_without_base_spans():
+    # Learned shares of a shape that is nearly always an email: one token alone stays out, a repeated one comes in.
+    weights = {"": [0.0] * 5, "a.00@a0.a.a": [-1.9, -0.01, -4.9, -4.9, -4.9]}
+    odd = "ana.12@ü3.mail.de"
+    base, every = pii.all_spans(f"{odd} wrote, so {odd} reads", weights)
+    assert base == [] and every == [(0, 0, 17), (0, 28, 45)]
+    assert pii.all_spans(f"{odd} wrote", weights) == ([], [])
+    assert pii.all_spans("nothing here", weights) == ([], [])
+
+
 def test_exact_dedup_equals_brute_force(docs, empty):
     groups = {}
     for row in _docs():
