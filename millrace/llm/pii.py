@@ -4,11 +4,13 @@ Fixed patterns give base spans (email, ip, card, phone), which always stay.  Aro
 candidate tokens of a document (those with digits or an ``@``) finds more: each token has a label, tokens covered
 by base spans are clamped to theirs, node potentials are learned log-odds of token shapes, chain edges join
 neighbours and skip edges join a token to the next one that is the same or similar (equal once all but
-letters and digits is dropped).  Loopy message passing spreads labels over both kinds of edges; a free token whose
+letters and digits is dropped), and to the first such one that a base span covers.  Loopy message passing, run until
+the messages settle, spreads labels over both kinds of edges, in every document with a free token; a free token whose
 belief in a kind reaches ADD becomes a span of that kind unless a base span overlaps it.
 
 Node potentials are counted on TRAIN_ROWS texts, the first by a hash of the text, with base spans
-as labels; every text is scanned whole.  Skip edges form chains, so a token that repeats n times has n - 1 edges.
+as labels; every text is scanned whole.  A token outside them that is linked to one inside, or is a card number or an
+address in an odd form, counts as unknown, not as none.  A token that repeats n times has fewer than 2 n skip edges.
 
 Defined results: a null or empty text has no spans; rows are handled one by one, so repeated rows, ties and
 null ids need nothing special; an empty table gives no rows; other columns of any name pass through
@@ -43,6 +45,8 @@ TRAIN_ROWS = 8_192
 ADD = 0.95
 ROUNDS = 10
 CHAIN, SKIP = 0.2, 5.0
+SETTLED = 1e-6
+SHORTEST = 6
 TOKEN = re.compile(r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+")
 EDGE = "\"'.,;:!?()[]{}<>|*#&%$"
 
@@ -124,29 +128,54 @@ def beliefs(nodes: np.ndarray, edges: np.ndarray, strength: np.ndarray, rounds:
     back = np.concatenate([np.arange(len(edges)) + len(edges), np.arange(len(edges))])
     gain = np.exp(np.concatenate([strength, strength]))[:, None] - 1
     message = np.zeros((len(source), labels))
-    for _ in range(rounds + 1):
+    # Messages reach one edge further each round and fade on the way; most settle within a few rounds.
+    for _ in range(100 * rounds + 2 * size):
         total = nodes.copy()
         np.add.at(total, target, message)
         out = total[source] - message[back]
         out = np.exp(out - out.max(axis=1, keepdims=True))
         new = np.log(out * gain + out.sum(axis=1, keepdims=True))
-        message = new - new.max(axis=1, keepdims=True)
+        new -= new.max(axis=1, keepdims=True)
+        moved = np.abs(new - message).max()
+        message = new
+        if moved < SETTLED:
+            break
+    total = nodes.copy()
+    np.add.at(total, target, message)
     raw = np.exp(total - total.max(axis=1, keepdims=True))
     return raw / raw.sum(axis=1, keepdims=True)
 
 
-def links(text: str, spots: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
-    """Chain edges between neighbours and skip edges between repeated or similar tokens."""
+def bare(token: str) -> str:
+    """The letters and digits of a token: what similar tokens have in common."""
+    return "".join(filter(str.isalnum, token)).lower()
+
+
+def links(text: str, spots: list[tuple[int, int]], labels: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Chain edges between neighbours; skip edges between repeated or similar tokens and to a labelled one of them."""
+    keys = [bare(text[a:b]) for a, b in spots]
+    known: dict[str, int] = {}
+    before: dict[str, int] = {}
+    for n, (key, label) in enumerate(zip(keys, labels, strict=True)):
+        if key not in known:
+            if label:
+                known[key] = n
+            else:
+                before[key] = n
     edges, strength, last = [], [], {}
-    for n, (start, end) in enumerate(spots):
+    for n, (start, _) in enumerate(spots):
         if n and start - spots[n - 1][1] <= 2:
             edges.append((n - 1, n))
             strength.append(CHAIN)
-        key = "".join(filter(str.isalnum, text[start:end])).lower()
+        key = keys[n]
         # Short keys repeat by chance and say nothing.
-        if len(key) >= 6:
-            if key in last:
-                edges.append((last[key], n))
+        if len(key) >= SHORTEST:
+            ends = {last[key]} if key in last else set()
+            if not labels[n] and key in known:
+                # The repeat just before the labelled token gets its edge there.
+                ends |= set() if before.get(key) == n else {known[key]}
+            for end in sorted(ends):
+                edges.append((end, n))
                 strength.append(SKIP)
             last[key] = n
     return np.array(edges, np.int64).reshape(-1, 2), np.array(strength)
@@ -162,7 +191,7 @@ def added_spans(text: str, base: list[tuple[int, int, int]], weights: dict[str,
     fixed = np.array(labels)
     nodes[fixed > 0] = -50.0
     nodes[np.flatnonzero(fixed), fixed[fixed > 0]] = 0.0
-    belief = beliefs(nodes, *links(text, spots))
+    belief = beliefs(nodes, *links(text, spots, labels))
     return [
         (int(belief[n].argmax()) - 1, *spots[n])
         for n in np.flatnonzero((fixed == 0) & (belief[:, 1:].max(axis=1) >= ADD)).tolist()
@@ -175,6 +204,17 @@ def all_spans(text: str, weights: dict[str, list[float]]) -> tuple[list, list]:
     return base, sorted(base + added_spans(text, base, weights))
 
 
+def unsure(token: str, known: set[str]) -> bool:
+    """Whether a token outside the base spans is linked to one inside (``known``: bare), or is a card or email in an odd form."""
+    key = bare(token)
+    if len(key) >= SHORTEST and key in known:
+        return True
+    if key.isascii() and key.isdigit():
+        return 13 <= len(key) <= 19 and _luhn(key)
+    name, at, domain = token.partition("@")
+    return bool(name and at and re.fullmatch(r"[^\W_][\w-]*(\.[\w-]+)+", domain))
+
+
 def learn(docs: DataFrame, rows: int = TRAIN_ROWS) -> dict[str, list[float]]:
     """Log potentials per token shape (``""``: any other shape), from base spans of at most ``rows`` texts."""
 
@@ -182,8 +222,13 @@ def learn(docs: DataFrame, rows: int = TRAIN_ROWS) -> dict[str, list[float]]:
         for batch in batches:
             counts: dict[tuple[str, int], int] = {}
             for text in texts(batch):
-                spots = tokens(text)
-                for (a, b), label in zip(spots, clamped(spots, base_spans(text)), strict=True):
+                spots, base = tokens(text), base_spans(text)
+                labels = clamped(spots, base)
+                known = {bare(text[a:b]) for (a, b), label in zip(spots, labels, strict=True) if label}
+                known |= {bare(text[a:b]) for _, a, b in base}
+                for (a, b), label in zip(spots, labels, strict=True):
+                    if not label and unsure(text[a:b], known):
+                        continue
                     key = (shape(text[a:b]), label)
                     counts[key] = counts.get(key, 0) + 1
             yield pa.RecordBatch.from_pydict(

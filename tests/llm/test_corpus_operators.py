@@ -298,6 +298,19 @@ def test_pii_field_runs_without_base_spans():
     assert pii.all_spans("nothing here", weights) == ([], [])
 
 
+def test_pii_field_reaches_every_repeat_in_a_corpus_of_odd_forms(spark):
+    plain, odd = "4111111111111111", "4111_1111_1111_1111"
+    texts = [f"order {n} of {n % 7} paid by {plain} alias {odd} on day {n % 28}" for n in range(200)]
+    texts += [f"the odd {odd} number {n} stands alone" for n in range(100)]
+    texts += [f"{plain} " + " ".join(f"then word {odd}" for _ in range(5)), " ".join(f"word {odd} then" for _ in range(5)) + f" so {plain}"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["n_card"] for r in pii.find(frame).collect()}
+    assert got[300] == got[301] == 6 and got[0] == 2 and got[250] == 0
+    edges, _ = pii.links(texts[300], pii.tokens(texts[300]), [3, 0, 0, 0, 0, 0])
+    pairs = [tuple(sorted(e)) for e in edges.tolist()]
+    assert len(pairs) == len(set(pairs)) < 12 and {(0, n) for n in range(1, 6)} <= set(pairs)
+
+
 def test_exact_dedup_equals_brute_force(docs, empty):
     groups = {}
     for row in _docs():
