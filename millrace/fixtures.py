@@ -30,16 +30,22 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _spread(stream.parquet(sf_dir), df, name)
 
 
-def sliced_stream(spark: SparkSession, sf_dir: str, name: str, by: str, slices: int = 4) -> DataFrame:
+def sliced_stream(spark: SparkSession, sf_dir: str, name: str, by: str, slices: int = 4, file_bytes: int = 128 << 20) -> DataFrame:
     """A test table as a stream of several micro-batches, in order of a column."""
     df, root = spark.read.parquet(f"{sf_dir}/{name}.parquet"), work_dir(spark, f"slices-{name}")
     shares = ",".join(str(k / slices) for k in range(1, slices))
     limits = df.agg(F.expr(f"approx_percentile({by}, array({shares}))")).first()[0]
-    place = sum((F.col(by) >= F.lit(limit)).cast("int") for limit in limits or []) + F.lit(0)
+    # rows without a value of the column come first
+    place = F.coalesce(sum((F.col(by) >= F.lit(limit)).cast("int") for limit in limits or []) + F.lit(0), F.lit(0))
+    # as many files as the size of a slice asks for, at least one
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    files = max(1, -(-size // (slices * file_bytes)))
     # one after the other, as the source takes files in the order of their times
     for k in range(slices):
-        df.where(place == k).coalesce(1).write.parquet(f"{root}/slice={k}")
-    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1)
+        rows = df.where(place == k)
+        rows = rows.coalesce(1) if files == 1 else rows.repartition(files)
+        rows.write.parquet(f"{root}/slice={k}")
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files)
     return stream.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(root)
 
 

@@ -8,6 +8,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from millrace import fixtures as fx
 from millrace.operators.applog import LogTopics
 from millrace.operators.jumpout import jumpouts_by_pattern, jumpouts_by_session, page_sessions
 from millrace.operators.orders import interval_join, parse_details, parse_orders
@@ -453,3 +454,20 @@ def test_late_rows_are_dropped_and_counted(spark, tmp_path):
     )
     assert got == [1]
     assert sum(p.stateOperators[0].numRowsDroppedByWatermark for p in q.recentProgress) == 1
+
+
+def test_sliced_stream_keeps_null_rows_and_splits_large_slices(spark, tmp_path):
+    rows = [(n, None if n % 10 == 0 else n) for n in range(400)]
+    spark.createDataFrame(rows, "id long, at long").coalesce(1).write.parquet(str(tmp_path / "sliced.parquet"))
+    for file_bytes in (128 << 20, 100):
+        stream = fx.sliced_stream(spark, str(tmp_path), "sliced", "at", file_bytes=file_bytes).withColumn("file", F.input_file_name())
+        batches = []
+        query = (
+            stream.writeStream.trigger(availableNow=True)
+            .option("checkpointLocation", str(tmp_path / f"checkpoint-{file_bytes}"))
+            .foreachBatch(lambda df, _: batches.append(([r["id"] for r in df.collect()], df.select("file").distinct().count())))
+            .start()
+        )
+        query.awaitTermination(60)
+        assert sorted(i for ids, _ in batches for i in ids) == list(range(400))
+        assert len(batches) == 4 and {n == 1 for _, n in batches} == {file_bytes > 100}
