@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import balltree, bpe, exactdedup, packing, pii, quality, simhash, substrings, toxicity, urlglob
+from millrace.llm import (
+    balltree,
+    bpe,
+    exactdedup,
+    packing,
+    pii,
+    quality,
+    qualityrules,
+    simhash,
+    spelling,
+    substrings,
+    toxicity,
+    turns,
+    urlglob,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     fn.__name__: fn
@@ -21,6 +35,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         pii.op8_pii,
         exactdedup.op9_exact_dedup,
         bpe.op10_bpe_chunks,
+        spelling.op11_spelling_variants,
+        qualityrules.op12_quality_rules,
+        turns.op13_conversation_repair,
     )
 }
 
