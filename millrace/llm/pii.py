@@ -3,14 +3,15 @@
 Fixed patterns give base spans (email, ip, card, phone), which always stay.  Around them a field over the
 candidate tokens of a document (those with digits or an ``@``) finds more: each token has a label, tokens covered
 by base spans are clamped to theirs, node potentials are learned log-odds of token shapes, chain edges join
-neighbours and skip edges join a token to the next one that is the same or similar (equal once all but
-letters and digits is dropped), and to the first such one that a base span covers.  Loopy message passing, run until
-the messages settle, spreads labels over both kinds of edges, in every document with a free token; a free token whose
-belief in a kind reaches ADD becomes a span of that kind unless a base span overlaps it.
+neighbours and skip edges join repeated or similar tokens (equal once all but letters and digits is dropped) through a
+hub they share.  Loopy message passing in a fixed number of rounds spreads labels over both kinds of edges, in every
+document with a free token, in time linear in its length; a free token whose belief in a kind reaches ADD becomes a span of that kind
+unless a base span overlaps it.
 
 Node potentials are counted on TRAIN_ROWS texts, the first by a hash of the text, with base spans
 as labels; every text is scanned whole.  A token outside them that is linked to one inside, or is a card number or an
-address in an odd form, counts as unknown, not as none.  A token that repeats n times has fewer than 2 n skip edges.
+address in an odd form, counts as unknown, not as none.  The SHAPES most
+frequent shapes that occur twice are learned; any other counts as unseen, for which the shares of all tokens stand.
 
 Defined results: a null or empty text has no spans; rows are handled one by one, so repeated rows, ties and
 null ids need nothing special; an empty table gives no rows; other columns of any name pass through
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,9 +44,10 @@ DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 WHOLE_IP = re.compile("(?<![0-9])" + IP.pattern)
 
 TRAIN_ROWS = 8_192
+SHAPES = 4_096
 ADD = 0.95
-ROUNDS = 10
-CHAIN, SKIP = 0.2, 5.0
+ROUNDS = 40
+CHAIN, SKIP = 0.2, 8.0
 SETTLED = 1e-6
 SHORTEST = 6
 TOKEN = re.compile(r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+")
@@ -98,9 +101,9 @@ def tokens(text: str) -> list[tuple[int, int]]:
 
 
 def shape(token: str) -> str:
-    """Letters as a, digits as 0, runs shortened to their length class."""
-    out = re.sub(r"[^\W\d_]+", "a", token[:64])
-    return re.sub(r"[0-9]+", lambda m: "0" * min(len(m.group()), 6), out)[:24]
+    """Letters as a, digits as 0, runs of digits shortened to their length class."""
+    out = re.sub(r"[^\W\d_]+", "a", token)
+    return re.sub(r"[0-9]+", lambda m: "0" * min(len(m.group()), 6), out)
 
 
 def clamped(spots: list[tuple[int, int]], base: list[tuple[int, int, int]]) -> list[int]:
@@ -110,29 +113,35 @@ def clamped(spots: list[tuple[int, int]], base: list[tuple[int, int, int]]) -> l
     for n, (start, end) in enumerate(spots):
         while at < len(spans) and spans[at][1] <= start:
             at += 1
-        for a, b, kind in spans[at : at + 4]:
-            if a < end and start < b:
+        for a, b, kind in spans[at:]:
+            if a >= end:
+                break
+            if start < b:
                 labels[n] = 1 + kind
                 break
     return labels
 
 
 def beliefs(nodes: np.ndarray, edges: np.ndarray, strength: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
-    """Label beliefs by loopy message passing; ``nodes`` holds log potentials, an edge rewards equal labels."""
+    """Label beliefs by loopy message passing; ``nodes`` holds log potentials, an edge rewards equal labels.
+
+    Messages of a round are computed together.  A repeat is two edges away from any other one, over their hub, and
+    messages along weak edges fade by an order of magnitude an edge, so a fixed number of rounds is enough however
+    long the document is.
+    """
     size, labels = nodes.shape
-    if not len(edges):
-        raw = np.exp(nodes - nodes.max(axis=1, keepdims=True))
-        return raw / raw.sum(axis=1, keepdims=True)
     source = np.concatenate([edges[:, 0], edges[:, 1]])
     target = np.concatenate([edges[:, 1], edges[:, 0]])
     back = np.concatenate([np.arange(len(edges)) + len(edges), np.arange(len(edges))])
     gain = np.exp(np.concatenate([strength, strength]))[:, None] - 1
     message = np.zeros((len(source), labels))
-    # Messages reach one edge further each round and fade on the way; most settle within a few rounds.
-    for _ in range(100 * rounds + 2 * size):
-        total = nodes.copy()
-        np.add.at(total, target, message)
-        out = total[source] - message[back]
+
+    def total() -> np.ndarray:
+        sums = [np.bincount(target, message[:, k], size) for k in range(labels)]
+        return nodes + np.stack(sums, axis=1)
+
+    for _ in range(rounds if len(edges) else 0):
+        out = total()[source] - message[back]
         out = np.exp(out - out.max(axis=1, keepdims=True))
         new = np.log(out * gain + out.sum(axis=1, keepdims=True))
         new -= new.max(axis=1, keepdims=True)
@@ -140,9 +149,8 @@ def beliefs(nodes: np.ndarray, edges: np.ndarray, strength: np.ndarray, rounds:
         message = new
         if moved < SETTLED:
             break
-    total = nodes.copy()
-    np.add.at(total, target, message)
-    raw = np.exp(total - total.max(axis=1, keepdims=True))
+    raw = total()
+    raw = np.exp(raw - raw.max(axis=1, keepdims=True))
     return raw / raw.sum(axis=1, keepdims=True)
 
 
@@ -151,34 +159,32 @@ def bare(token: str) -> str:
     return "".join(filter(str.isalnum, token)).lower()
 
 
-def links(text: str, spots: list[tuple[int, int]], labels: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """Chain edges between neighbours; skip edges between repeated or similar tokens and to a labelled one of them."""
+def links(text: str, spots: list[tuple[int, int]]) -> tuple[list[int], np.ndarray, np.ndarray]:
+    """(hub of each token or -1, edges, strengths).
+
+    Repeated and similar tokens share one hub, a node of its own after the tokens: a skip edge leads from each of
+    them to it, so n repeats have n edges.  Chain edges join neighbours; neighbours that share a hub need none, two
+    hubs' tokens are joined once, however often they stand side by side, and the chain edges of one hub share the strength
+    of one, so that a word does not become a card by standing beside many.
+    """
     keys = [bare(text[a:b]) for a, b in spots]
-    known: dict[str, int] = {}
-    before: dict[str, int] = {}
-    for n, (key, label) in enumerate(zip(keys, labels, strict=True)):
-        if key not in known:
-            if label:
-                known[key] = n
-            else:
-                before[key] = n
-    edges, strength, last = [], [], {}
-    for n, (start, _) in enumerate(spots):
-        if n and start - spots[n - 1][1] <= 2:
-            edges.append((n - 1, n))
-            strength.append(CHAIN)
-        key = keys[n]
-        # Short keys repeat by chance and say nothing.
-        if len(key) >= SHORTEST:
-            ends = {last[key]} if key in last else set()
-            if not labels[n] and key in known:
-                # The repeat just before the labelled token gets its edge there.
-                ends |= set() if before.get(key) == n else {known[key]}
-            for end in sorted(ends):
-                edges.append((end, n))
-                strength.append(SKIP)
-            last[key] = n
-    return np.array(edges, np.int64).reshape(-1, 2), np.array(strength)
+    # Short keys repeat by chance and say nothing.
+    often = Counter(key for key in keys if len(key) >= SHORTEST)
+    hubs: dict[str, int] = {}
+    hub = [hubs.setdefault(key, len(spots) + len(hubs)) if often[key] > 1 else -1 for key in keys]
+    edges = [(n, h) for n, h in enumerate(hub) if h >= 0]
+    strength = [SKIP] * len(edges)
+    joined: dict[tuple[int, int], tuple[int, int]] = {}
+    for n in range(1, len(spots)):
+        if spots[n][0] - spots[n - 1][1] <= 2:
+            ends = [h if h >= 0 else m for m, h in ((n - 1, hub[n - 1]), (n, hub[n]))]
+            if ends[0] != ends[1]:
+                joined.setdefault((min(ends), max(ends)), (n - 1, n))
+    degree = Counter(end for pair in joined for end in pair if end >= len(spots))
+    for pair, edge in joined.items():
+        edges.append(edge)
+        strength.append(CHAIN / max(1, degree[pair[0]], degree[pair[1]]))
+    return hub, np.array(edges, np.int64).reshape(-1, 2), np.array(strength, float)
 
 
 def added_spans(text: str, base: list[tuple[int, int, int]], weights: dict[str, list[float]]) -> list[tuple[int, int, int]]:
@@ -186,15 +192,26 @@ def added_spans(text: str, base: list[tuple[int, int, int]], weights: dict[str,
     labels = clamped(spots, base)
     if not spots or all(labels):
         return []
-    unknown = weights.get("", [0.0] * (1 + len(KINDS)))
-    nodes = np.array([weights.get(shape(text[a:b]), unknown) for a, b in spots])
-    fixed = np.array(labels)
-    nodes[fixed > 0] = -50.0
-    nodes[np.flatnonzero(fixed), fixed[fixed > 0]] = 0.0
-    belief = beliefs(nodes, *links(text, spots, labels))
+    hub, edges, strength = links(text, spots)
+    nothing = [0.0] * (1 + len(KINDS))
+    # A shape that was never seen says nothing: the shares of all tokens count, once for all repeats.
+    prior = weights.get("", nothing)
+    nodes = np.zeros((max([len(spots), *(h + 1 for h in hub)]), 1 + len(KINDS)))
+    for n, ((a, b), label, h) in enumerate(zip(spots, labels, hub, strict=True)):
+        if label:
+            nodes[n] = -50.0
+            nodes[n, label] = 0.0
+            continue
+        seen = weights.get(shape(text[a:b]))
+        if seen is not None:
+            nodes[n] = seen
+        else:
+            nodes[n if h < 0 else h] = prior
+    belief = beliefs(nodes, edges, strength)[: len(spots)]
+    free = np.array(labels) == 0
     return [
         (int(belief[n].argmax()) - 1, *spots[n])
-        for n in np.flatnonzero((fixed == 0) & (belief[:, 1:].max(axis=1) >= ADD)).tolist()
+        for n in np.flatnonzero(free & (belief[:, 1:].max(axis=1) >= ADD)).tolist()
     ]
 
 
@@ -245,7 +262,7 @@ def learn(docs: DataFrame, rows: int = TRAIN_ROWS) -> dict[str, list[float]]:
     counted = sample.select("text").mapInArrow(run, "shape string, label int, n long")
     counted = counted.groupBy("shape", "label").agg(F.sum("n").alias("n"))
     # Shapes seen once say no more than unseen ones: few enough remain for every task.
-    often = counted.groupBy("shape").agg(F.sum("n").alias("seen")).where("seen > 1").orderBy(F.desc("seen"), "shape").limit(4096)
+    often = counted.groupBy("shape").agg(F.sum("n").alias("seen")).where("seen > 1").orderBy(F.desc("seen"), "shape").limit(SHAPES)
     table: dict[str, np.ndarray] = {"": np.zeros(1 + len(KINDS))}
     for r in counted.join(F.broadcast(often.select("shape")), "shape").collect():
         for name in (r["shape"], ""):
@@ -254,7 +271,7 @@ def learn(docs: DataFrame, rows: int = TRAIN_ROWS) -> dict[str, list[float]]:
     prior = total / total.sum()
     # Smoothed towards the overall shares; softened, so that shape alone never decides.
     return {
-        s: (np.zeros_like(c) if not s else 0.5 * np.log((c + 5 * prior) / (c.sum() + 5))).round(6).tolist()
+        s: (0.5 * np.log(prior if not s else (c + 5 * prior) / (c.sum() + 5))).round(6).tolist()
         for s, c in sorted(table.items())
     }
 

@@ -9,7 +9,7 @@ fit, the longest wins.  Where none fits, the method's own globs decide: any hit
 
 Defined results: a null URL, or one without ``://``, has an empty host and path, fits no rule and
 is allowed; rows are judged one by one, so repeated rows, null ids, other columns and empty tables
-need nothing special; a very long URL costs its length.
+need nothing special; a URL may hold any signs, line breaks too; a very long URL costs its length.
 """
 
 from __future__ import annotations
@@ -41,18 +41,19 @@ RULES = (
     Rule("allow", "com", "/fr/"),
     Rule("block", "com", "/de/"),
 )
+BORDER = b"\xff"  # a byte that no text in UTF-8 holds
 BLOCK_GLOBS = ("*casino*", "*cheap-pills*", "*spam-farm*")
 
 
 class GlobSet:
     """Globs (``*`` any bytes, ``?`` one byte) matched against whole strings, all at once."""
 
-    def __init__(self, globs: Sequence[str]):
+    def __init__(self, globs: Sequence[str | bytes]):
         units: list[list[tuple[int | None, bool]]] = []  # per glob: (byte or any, stays on any byte afterwards)
         self.starts_loose = []
         for glob in globs:
             loose, cells = False, []
-            for byte in glob.encode():
+            for byte in glob.encode() if isinstance(glob, str) else glob:
                 if byte == ord("*"):
                     if cells:
                         cells[-1] = (cells[-1][0], True)
@@ -133,7 +134,7 @@ def judge(
 ) -> DataFrame:
     """page_id, host, path, the longest rule that fits, and the verdict of every page."""
     ranked = sorted(rules, key=lambda rule: -len(rule.text))
-    globs = [prefix + _plain(rule) + "*" for rule in ranked for prefix in ("", "*.")]
+    globs = [prefix + _plain(rule) + b"*" for rule in ranked for prefix in (b"", b"*.")]
     names = pa.array([rule.text for rule in ranked], pa.string())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,8 +144,8 @@ def judge(
             for start in range(0, whole.num_rows, rows):
                 batch = whole.slice(start, rows)
                 parts = [canonical(value.as_py()) for value in batch.column("url")]
-                # The host and path borders are marked, so that a rule's host cannot match inside a path.
-                hits = automaton.match([f"{host}\n{path}".encode() for host, path in parts])
+                # The border of host and path is marked, so that a rule's host cannot match inside a path.
+                hits = automaton.match([BORDER.join((host.encode(), path.encode())) for host, path in parts])
                 fits = hits[:, : len(globs)].reshape(len(parts), -1, 2).any(axis=2)
                 found = fits.any(axis=1)
                 best = np.where(found, fits.argmax(axis=1) if fits.shape[1] else 0, len(ranked) + 1)
@@ -164,10 +165,10 @@ def judge(
     return pages.select(F.col("page_id").cast("long").alias("page_id"), "url").mapInArrow(run, SCHEMA)
 
 
-def _plain(rule: Rule) -> str:
-    if set("*?\n") & set(rule.text):
+def _plain(rule: Rule) -> bytes:
+    if set("*?") & set(rule.text):
         raise ValueError(f"a rule is no glob: {rule.text}")
-    return f"{rule.host}\n{rule.path}"
+    return BORDER.join((rule.host.encode(), rule.path.encode()))
 
 
 def op2_url_filter(spark, sf_dir: str) -> DataFrame:

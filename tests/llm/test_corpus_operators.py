@@ -3,8 +3,10 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter
+from itertools import product
 
 import numpy as np
 import pytest
@@ -77,6 +79,7 @@ def test_url_rules_and_globs(spark):
     urls = [
         None, "", "no scheme", "http://A.example.ORG/es/x?q", "http://example.org/en/12", "https://x.com/fr/a#b", "http://com/de/",
         "http://notexample.org/es/", "http://shop.net/casino", "http://x.com", "http://x.org?a/b", "http://x.com/" + "y" * 9000, "://",
+        "http://evil.net/x.com\n/fr/a", "http://evil.net/q.org\n/a", "http://a\n.org/b", "http://evil.net/x.com\xff/fr/a",
     ]
     pages = spark.createDataFrame([(i, u, "k") for i, u in enumerate(urls)], "page_id long, url string, host string")
     got = {r["page_id"]: (r["rule"], r["verdict"]) for r in urlglob.judge(pages).collect()}
@@ -85,6 +88,26 @@ def test_url_rules_and_globs(spark):
         ("org/", "allow"), (None, "block"),
     ]
     assert got[10] == (None, "allow") and len(got) == len(urls)
+    assert [got[k] for k in (13, 14, 15, 16)] == [(None, "allow"), (None, "allow"), ("org/", "allow"), (None, "allow")]
+    assert urlglob.judge(pages.unionByName(pages).where("page_id = 3")).count() == 2
+    assert urlglob.judge(pages.where("false")).count() == 0
+
+
+def test_url_rules_equal_plain_rules(spark):
+    rng = random.Random(12)
+    hosts, paths = ["com", "x.com", "a.x.com", "ex.com", "org", "b.org", ""], ["", "/", "/a", "/a/b", "/ab", "/\n"]
+    rules = {(rng.choice(hosts[:6]), rng.choice(paths[1:])) for _ in range(20)}
+    rules = [urlglob.Rule(rng.choice(["allow", "block"]), h, p) for h, p in sorted(rules)]
+    globs = [f"*word{n}?x*" for n in range(300)]
+    cases = [(h, p + rng.choice(["", "/c", "word7yx", "word250\nx"])) for h in hosts for p in paths for _ in range(3)]
+    pages = spark.createDataFrame([(n, f"http://{h}{p}") for n, (h, p) in enumerate(cases)], "page_id long, url string")
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in urlglob.judge(pages, rules, globs).collect()}
+    for n, (host, path) in enumerate(cases):
+        host, path = urlglob.canonical(f"http://{host}{path}")
+        fits = [r for r in rules if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+        best = max(fits, key=lambda r: len(r.text), default=None)
+        hit = re.search(r"word\d+[^\0]x", host + path)
+        assert got[n] == ((best.text, best.verdict) if best else (None, "block" if hit else "allow")), (host, path)
 
 
 def test_globs_over_several_words_equal_regex():
@@ -306,9 +329,42 @@ def test_pii_field_reaches_every_repeat_in_a_corpus_of_odd_forms(spark):
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r["doc_id"]: r["n_card"] for r in pii.find(frame).collect()}
     assert got[300] == got[301] == 6 and got[0] == 2 and got[250] == 0
-    edges, _ = pii.links(texts[300], pii.tokens(texts[300]), [3, 0, 0, 0, 0, 0])
-    pairs = [tuple(sorted(e)) for e in edges.tolist()]
-    assert len(pairs) == len(set(pairs)) < 12 and {(0, n) for n in range(1, 6)} <= set(pairs)
+    spots = pii.tokens(texts[300])
+    hub, edges, _ = pii.links(texts[300], spots)
+    assert len(set(hub)) == 1 and len(edges) == len(spots) == 6
+
+
+def test_pii_long_repeats_are_linear_and_add_nothing():
+    weights = {"": [-0.02, -1.9, -2.6, -2.6, -2.6]}
+    card = "4111111111111111"
+    for repeats in (20, 50, 20_000):
+        text = f"{card} " + " ".join(["unit77x"] * repeats)
+        began = time.perf_counter()
+        base, every = pii.all_spans(text, weights)
+        assert every == base and len(base) == 1 and time.perf_counter() - began < 1.5
+    # Beside many cards, other ones or the same: still no card.
+    for cards in ([card] * 60, [f"5{n:015d}" for n in range(4000)]):
+        text = " ".join(f"unit77x {c}" for c in cards)
+        base, every = pii.all_spans(text, weights)
+        assert every == base and len(base) >= 60
+    # What repeats a card in another form is one.
+    assert len(pii.all_spans(f"{card} " + "so 4111_1111_1111_1111 " * 500, weights)[1]) == 501
+
+
+def test_pii_beliefs_equal_exact_marginals_on_trees():
+    rng = np.random.default_rng(2)
+    for size in (1, 2, 3, 4, 5, 6):
+        nodes = rng.normal(size=(size, 5))
+        edges = np.array([(int(rng.integers(0, n)), n) for n in range(1, size)], np.int64).reshape(-1, 2)
+        strength = rng.random(len(edges)) * 3
+        exact = np.zeros((size, 5))
+        for labels in product(range(5), repeat=size):
+            weight = np.exp(
+                sum(nodes[n, k] for n, k in enumerate(labels))
+                + sum(s for (a, b), s in zip(edges.tolist(), strength, strict=True) if labels[a] == labels[b])
+            )
+            exact[np.arange(size), labels] += weight
+        assert np.allclose(pii.beliefs(nodes, edges, strength), exact / exact.sum(axis=1, keepdims=True), atol=1e-6)
 
 
 def test_exact_dedup_equals_brute_force(docs, empty):
