@@ -189,6 +189,39 @@ def rule_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def rule_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A change log of routing rules that is spread over the positions of the change feed, one change per supplier.
+
+    The rules of orders and users are edited all the time; some changes delete a rule, some move it to rows of
+    type ``read``.
+    """
+    k = F.col("s_suppkey")
+    slot, number = k % 4, k.cast("string")
+    is_user = slot == 3
+    order_columns = F.when(k % 3 == 0, "o_orderkey").when(k % 3 == 1, "o_orderkey,o_custkey").otherwise("o_orderkey,o_totalprice")
+
+    def rule(operation: Column) -> Column:
+        return F.to_json(
+            F.struct(
+                F.when(is_user, "user_info").otherwise("order_info").alias("source_table"),
+                operation.alias("operate_type"),
+                F.when(is_user, "hbase").otherwise("kafka").alias("sink_type"),
+                F.concat(F.when(is_user, "dim_v").otherwise("dwd_v"), number).alias("sink_table"),
+                F.when(is_user, "c_custkey,c_name").otherwise(order_columns).alias("sink_columns"),
+                F.when(is_user, "c_custkey").alias("sink_pk"),
+            )
+        )
+
+    own = rule(F.when(slot == 2, "update").otherwise("insert"))
+    gone, moved = k % 11 == 0, (k % 13 == 0) & ~is_user
+    return table(spark, sf_dir, "supplier").select(
+        (k * 150).cast("bigint").alias("seq"),
+        F.when(gone, "delete").when(moved, "update").otherwise("insert").alias("type"),
+        F.when(gone, "{}").when(moved, rule(F.lit("read"))).otherwise(own).alias("data"),
+        F.when(gone | moved, own).otherwise("{}").alias("before"),
+    )
+
+
 def customer_upserts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One upsert of the customer row per order; orders with an odd key omit the status."""
     k = F.col("o_orderkey")

@@ -25,11 +25,10 @@ MAX_BROADCAST_RULES = 50_000
 DEFAULT_KEY = "id"  # of a dimension whose rule names none
 
 
-def latest_rules(rule_changes: DataFrame, order: str = "seq") -> DataFrame:
-    """Current rules from the change log of the rule table (envelope columns + ``order``).
+def rule_events(rule_changes: DataFrame, order: str = "seq") -> DataFrame:
+    """``_order, live`` and the rule's columns: a change of the rule table as writes (live 1) and removals (0) of keys.
 
-    The last write per (source table, operation) wins.  Deleting a rule removes it,
-    and moving it to another key removes it from the old key.
+    Deleting a rule removes it, and moving it to another key removes it from the old key.
     """
     after, before = _rule("data"), _rule("before")
     old_key = F.struct(*[F.col(f"_before.{c}") for c in RULE_KEY])
@@ -46,8 +45,16 @@ def latest_rules(rule_changes: DataFrame, order: str = "seq") -> DataFrame:
         ),
     )
     events = writes.select(F.col(order).alias("_order"), F.explode(F.array_compact(events)).alias("e"))
-    flat = events.select("_order", "e.live", "e.rule.*")
-    return last_rule_per_key(flat, ("_order", "live")).where("live = 1").select(*RULE_COLUMNS)
+    return events.select("_order", "e.live", "e.rule.*")
+
+
+def latest_rules(rule_changes: DataFrame, order: str = "seq") -> DataFrame:
+    """Current rules from the change log of the rule table (envelope columns + ``order``).
+
+    The last write per (source table, operation) wins; removed rules are gone.
+    """
+    events = rule_events(rule_changes, order)
+    return last_rule_per_key(events, ("_order", "live")).where("live = 1").select(*RULE_COLUMNS)
 
 
 def _rule(image: str) -> Column:
@@ -78,12 +85,13 @@ def route_changes(changes: DataFrame, rules: DataFrame) -> DataFrame:
     names, no trimming).  ``rules`` holds one rule per key.  Unmatched changes keep
     their whole image.
     """
-    r = rules.select(*RULE_COLUMNS)
-    matched = decode_image(changes).join(
-        r,
-        (F.col("tableName") == F.col("source_table")) & (F.col("type") == F.col("operate_type")),
-        "left",
-    )
+    same = (F.col("tableName") == F.col("source_table")) & (F.col("type") == F.col("operate_type"))
+    return route_matched(changes.join(rules.select(*RULE_COLUMNS), same, "left"))
+
+
+def route_matched(matched: DataFrame) -> DataFrame:
+    """The second half of ``route_changes``, for changes that carry the columns of their rule (null: none)."""
+    matched = decode_image(matched)
     route = (
         F.when(F.col("source_table").isNull(), UNROUTED)
         .when(F.col("sink_type") == DIM_SINK_TYPE, DIM)

@@ -124,6 +124,22 @@ gaps as (
                     case when sku_id % 2 = 1 then order_price end as order_price) from pairs)"""
 
 
+RULE_LOG = """
+slots as (
+  select s_suppkey as k, s_suppkey * 150 as pos,
+         case when s_suppkey % 4 = 3 then 'user_info' else 'order_info' end as src,
+         case when s_suppkey % 4 = 2 then 'update' else 'insert' end as op,
+         s_suppkey % 11 = 0 as gone, s_suppkey % 13 = 0 and s_suppkey % 4 <> 3 as moved,
+         case when s_suppkey % 4 = 3 then 'c_custkey,c_name' when s_suppkey % 3 = 0 then 'o_orderkey'
+              when s_suppkey % 3 = 1 then 'o_custkey,o_orderkey' else 'o_orderkey,o_totalprice' end as fields
+  from supplier),
+rule_events as (
+  select k, pos, src, op, not (gone or moved) as live, fields from slots
+  union all select k, pos, src, 'read', true, fields from slots where moved and not gone),
+versions as (
+  select *, lead(pos) over (partition by src, op order by pos) as until from rule_events)"""
+
+
 def _first(column: str) -> str:
     position = "{a: detail_id, b: sku_id, c: order_price, d: sku_num}"
     return f"arg_min({column}, {position}) filter (where {column} is not null) as {column}"
@@ -201,6 +217,14 @@ ORACLE: dict[str, str] = {
     "rules_current": """with r as (select *, row_number() over (partition by o_custkey order by o_orderkey desc) as rn
         from orders) select 't_' || o_custkey as source_table, 'insert' as operate_type,
         'dwd_' || o_orderkey as sink_table from r where rn = 1 and o_orderstatus <> 'F'""",
+    "cdc_route_asof": f"""with {FEED}, {RULE_LOG}, placed as (
+        select case "tableName" when 'user_info' then seq * 10 else seq end as seq, "tableName", type
+        from feed where type <> 'delete')
+        select seq, "tableName", p.type,
+          case when k is null then 'unrouted' when src = 'user_info' then 'dim' else 'fact' end as route,
+          case when src = 'user_info' then 'dim_v' || k else 'dwd_v' || k end as sink_table, fields
+        from placed p left join versions v on p."tableName" = src and p.type = op and live
+          and seq > pos and (until is null or seq <= until)""",
     "dim_upsert_current": """with u as (
         select o_custkey, max(o_orderkey) as last_order, max(o_orderkey) filter (where o_orderkey % 2 = 0) as s
         from orders group by o_custkey)

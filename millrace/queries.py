@@ -11,7 +11,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from millrace import fixtures as fx
 from millrace.functions.jsontext import as_text, field
 from millrace.functions.timetext import age_years, day_text
-from millrace.operators import applog, changefeed, dimensions, jumpout, newuser, orders, routing, visits
+from millrace.operators import applog, changefeed, dimensions, jumpout, newuser, orders, routing, ruletime, visits
 from millrace.plans.app_log import log_job, log_tables
 from millrace.plans.change_feed import (
     ODS_TOPIC,
@@ -253,6 +253,18 @@ def rules_current(spark, sf):
     return routing.latest_rules(fx.rule_changes(spark, sf)).select("source_table", "operate_type", "sink_table")
 
 
+@query
+def cdc_route_asof(spark, sf):
+    """Every change by the rule valid when it arrived, from the logs of changes and of rules."""
+    at = F.when(F.col("tableName") == "user_info", F.col("seq") * 10).otherwise(F.col("seq"))
+    changes = changefeed.nonempty(_changes(spark, sf)).withColumn("seq", at)
+    routed = ruletime.route_changes_asof(changes, ruletime.rule_versions(fx.rule_log(spark, sf)))
+    fields = F.array_join(F.array_sort(F.map_keys("data")), ",")
+    return routed.select(
+        "seq", "tableName", "type", "route", "sink_table", F.when(F.col("route") != routing.UNROUTED, fields).alias("fields")
+    )
+
+
 # --- dimensions ---------------------------------------------------------------------
 
 
