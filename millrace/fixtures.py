@@ -30,23 +30,46 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _spread(stream.parquet(sf_dir), df, name)
 
 
-def sliced_stream(spark: SparkSession, sf_dir: str, name: str, by: str, slices: int = 4, file_bytes: int = 128 << 20) -> DataFrame:
-    """A test table as a stream of several micro-batches, in order of a column."""
-    df, root = spark.read.parquet(f"{sf_dir}/{name}.parquet"), work_dir(spark, f"slices-{name}")
-    shares = ",".join(str(k / slices) for k in range(1, slices))
-    limits = df.agg(F.expr(f"approx_percentile({by}, array({shares}))")).first()[0]
-    # rows without a value of the column come first
-    place = F.coalesce(sum((F.col(by) >= F.lit(limit)).cast("int") for limit in limits or []) + F.lit(0), F.lit(0))
+_SLICED: dict[tuple, str] = {}
+
+
+def sliced_stream(
+    spark: SparkSession,
+    sf_dir: str,
+    name: str,
+    by: str,
+    slices: int = 4,
+    file_bytes: int = 128 << 20,
+    limits: list | None = None,
+) -> DataFrame:
+    """A test table as a stream of several micro-batches, in order of a column.
+
+    The slices are written once per session.  ``limits`` are the values that begin a slice, by default
+    those that make slices of about one size.
+    """
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    given = (spark.sparkContext.applicationId, sf_dir, name, by, slices, file_bytes, str(limits))
     # as many files as the size of a slice asks for, at least one
     size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     files = max(1, -(-size // (slices * file_bytes)))
+    if given not in _SLICED:
+        _SLICED[given] = _write_slices(df, work_dir(spark, f"slices-{name}"), by, slices, files, limits)
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files)
+    return stream.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(_SLICED[given])
+
+
+def _write_slices(df: DataFrame, root: str, by: str, slices: int, files: int, limits: list | None) -> str:
+    if limits is None:
+        shares = ",".join(str(k / slices) for k in range(1, slices))
+        limits = df.agg(F.expr(f"approx_percentile({by}, array({shares}))")).first()[0]
+    # rows without a value of the column come first
+    place = F.coalesce(sum((F.col(by) >= F.lit(limit)).cast("int") for limit in limits or []) + F.lit(0), F.lit(0))
     # one after the other, as the source takes files in the order of their times
     for k in range(slices):
         rows = df.where(place == k)
         rows = rows.coalesce(1) if files == 1 else rows.repartition(files)
         rows.write.parquet(f"{root}/slice={k}")
-    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files)
-    return stream.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(root)
+    return root
 
 
 def _spread(df: DataFrame, sized: DataFrame, name: str) -> DataFrame:
@@ -86,7 +109,7 @@ def lines_from_events(events: DataFrame) -> DataFrame:
     is_start = F.col("event_type") == "signup"
     line = F.struct(
         common.alias("common"),
-        F.when(is_start, F.struct(F.lit("icon").alias("entry"))).alias("start"),
+        F.when(is_start, F.struct(F.lit("tile").alias("entry"))).alias("start"),
         F.when(~is_start, page).alias("page"),
         F.when(F.col("event_type") == "purchase", items).alias("displays"),
         F.unix_millis(F.col("ts").cast("timestamp")).alias("ts"),
@@ -99,9 +122,9 @@ def lines_from_events(events: DataFrame) -> DataFrame:
 
 def _item(item: Column, order: int) -> Column:
     return F.struct(
-        F.lit("query").alias("display_type"),
+        F.lit("shelf").alias("display_type"),
         item.cast("string").alias("item"),
-        F.lit("sku_id").alias("item_type"),
+        F.lit("article").alias("item_type"),
         F.lit(order).alias("order"),
         F.lit(order + 2).alias("pos_id"),
     )
@@ -165,6 +188,21 @@ def rules(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(*r, None) for r in rows], columns)
 
 
+def rules_that_grow(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
+    """A dimension rule, and the same rule with a column more."""
+    columns = ", ".join(f"{c} string" for c in RULE_COLUMNS)
+    rule = ("user_info", "insert", "hbase", "dim_user_info")
+    before = [(*rule, "c_custkey,c_name", "c_custkey", None)]
+    after = [(*rule, "c_custkey,c_name,c_mktsegment", "c_custkey", None)]
+    return spark.createDataFrame(before, columns), spark.createDataFrame(after, columns)
+
+
+def quarters(spark: SparkSession, sf_dir: str) -> list[int]:
+    """The customer keys that begin the second to fourth quarter of the key range."""
+    last = table(spark, sf_dir, "customer").agg(F.max("c_custkey")).first()[0] or 0
+    return [last * k // 4 for k in (1, 2, 3)]
+
+
 def rule_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A change log of routing rules, one change per order, as envelope columns + ``seq``.
 
@@ -248,10 +286,13 @@ def customer_upserts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``value``: order rows as JSON text; the province is the customer's nation."""
-    orders = table(spark, sf_dir, "orders")
+    return order_texts_from(with_province(spark, sf_dir, table(spark, sf_dir, "orders")), F.col("c_nationkey"))
+
+
+def with_province(spark: SparkSession, sf_dir: str, orders: DataFrame) -> DataFrame:
+    """Orders, or a stream of them, with the nation of their customer."""
     users = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    rows = orders.join(users, orders.o_custkey == users.c_custkey, "left")
-    return order_texts_from(rows, F.col("c_nationkey"))
+    return orders.join(users, orders.o_custkey == users.c_custkey, "left")
 
 
 def order_texts_from(orders: DataFrame, province: Column) -> DataFrame:
@@ -304,16 +345,17 @@ def _text(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
 
 
-def dimensions(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The six dimension tables, every column a string."""
-    part = table(spark, sf_dir, "part")
-    nation = table(spark, sf_dir, "nation")
+def dimensions(spark: SparkSession, sf_dir: str, streaming: bool = False) -> dict[str, DataFrame]:
+    """The six dimension tables, every column a string; as streams they may repeat rows."""
+    read = table_stream if streaming else table
+    part = read(spark, sf_dir, "part")
+    nation = read(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
     k = F.col("c_custkey")
     brand_id = F.regexp_extract("p_brand", r"(\d+)$", 1)
     type_id = F.conv(F.substring(F.md5(F.col("p_type").cast("binary")), 1, 8), 16, 10)
     raw = {
-        "dim_user_info": table(spark, sf_dir, "customer").select(
+        "dim_user_info": read(spark, sf_dir, "customer").select(
             k.alias("id"),
             F.when(k % 2 == 0, "F").otherwise("M").alias("gender"),
             F.date_add(F.lit("1960-01-01").cast("date"), (k * 37 % 15000).cast("int")).alias("birthday"),
@@ -331,20 +373,50 @@ def dimensions(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             type_id.alias("category3_id"),
             (F.col("p_partkey") % 100).alias("spu_id"),
         ),
-        "dim_base_trademark": part.select(
-            brand_id.alias("id"), F.col("p_brand").alias("tm_name")
-        ).distinct(),
-        "dim_base_category3": part.select(
-            type_id.alias("id"), F.col("p_type").alias("name")
-        ).distinct(),
-        "dim_spu_info": table(spark, sf_dir, "supplier").select(
+        "dim_base_trademark": part.select(brand_id.alias("id"), F.col("p_brand").alias("tm_name")),
+        "dim_base_category3": part.select(type_id.alias("id"), F.col("p_type").alias("name")),
+        "dim_spu_info": read(spark, sf_dir, "supplier").select(
             F.col("s_suppkey").alias("id"), F.col("s_name").alias("spu_name")
         ),
     }
-    return {
-        name: df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
-        for name, df in raw.items()
-    }
+    texts = {name: df.select(*[F.col(c).cast("string").alias(c) for c in df.columns]) for name, df in raw.items()}
+    if not streaming:
+        for name in ("dim_base_trademark", "dim_base_category3"):
+            texts[name] = texts[name].distinct()
+    return texts
+
+
+# Columns of the dimension tables, as their rules list them.
+DIM_COLUMNS = {
+    "dim_user_info": ("id", "gender", "birthday"),
+    "dim_base_province": ("id", "name", "area_code", "iso_code", "iso_3166_2"),
+    "dim_sku_info": ("id", "tm_id", "category3_id", "spu_id"),
+    "dim_base_trademark": ("id", "tm_name"),
+    "dim_base_category3": ("id", "name"),
+    "dim_spu_info": ("id", "spu_name"),
+}
+
+
+def dimension_rules(spark: SparkSession) -> DataFrame:
+    """The rules that fill the six dimension tables from their source tables."""
+    rows = [
+        (name.removeprefix("dim_"), "insert", "hbase", name, ",".join(columns), None, None)
+        for name, columns in DIM_COLUMNS.items()
+    ]
+    return spark.createDataFrame(rows, ", ".join(f"{c} string" for c in RULE_COLUMNS))
+
+
+def dimension_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``topic, seq, value``: a stream of change records of the six source tables."""
+    feeds = []
+    for name, rows in dimensions(spark, sf_dir, streaming=True).items():
+        record = _record(F.lit("c"), F.lit(None).cast("string"), F.struct(*rows.columns))
+        topic = F.lit(f"{TOPIC_PREFIX}.{name.removeprefix('dim_')}")
+        feeds.append(rows.select(topic.alias("topic"), F.col("id").cast("bigint").alias("seq"), record.alias("value")))
+    whole = feeds[0]
+    for feed in feeds[1:]:
+        whole = whole.unionByName(feed)
+    return whole
 
 
 # Columns of a wide row that come from the detail only, among those a merge fills.

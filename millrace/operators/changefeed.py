@@ -20,6 +20,7 @@ OPERATIONS = {
 
 _IMAGES = "op:string,before:variant,after:variant"
 _RECORD = f"struct<{_IMAGES},payload:struct<{_IMAGES}>>"
+# Fields of the envelope (fixed values).
 ENVELOPE = ("type", "data", "before", "database", "tableName")
 
 

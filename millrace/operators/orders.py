@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.jsontext import with_parsed
 from millrace.functions.timetext import age_years, date_part, hour_part, time_millis, time_text
-from millrace.operators.dimensions import DimSpec, join_dim
+from millrace.operators.dimensions import DimSpec, HotKeys, hot_keys, join_dim
 from millrace.operators.timeslices import default_width, slice_of, with_slices
 
 MONEY = "decimal(16,2)"
@@ -197,18 +197,21 @@ def enrich(
     dims: Mapping[str, DataFrame],
     as_of: str | None = None,
     narrow: bool = False,
+    n_rows: int = 0,
 ) -> DataFrame:
     """Add the user, province, sku, trademark, category and product-group columns.
 
     Trademark, category and product group hang off the sku, so they are joined to the
     sku table first and the wide rows are shuffled at most three times, not six.
-    ``narrow`` suits a small cached ``wide``: each dimension is reduced to its keys.
+    ``narrow`` suits a small cached ``wide``: each dimension is reduced to its keys.  With
+    ``n_rows``, the number of its rows, keys that very many of them share are split.
     """
     joined = wide
     for spec in WIDE_DIMS:
         # the keys of every lookup are columns of the wide rows as given
         keys = wide.select(spec.left_key) if narrow else None
-        joined = join_dim(joined, dims, spec, keys)
+        hot = hot_keys(wide, spec.left_key, n_rows) if narrow else HotKeys()
+        joined = join_dim(joined, dims, spec, keys, hot)
     today = F.lit(as_of).cast("timestamp") if as_of else F.now()
     joined = joined.withColumn("user_age", age_years(F.col("birthday"), today))
     return joined.select(*[_typed(n, t) for n, t in WIDE_FIELDS.items()])

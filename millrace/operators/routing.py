@@ -10,6 +10,7 @@ from millrace.operators.changefeed import decode_image
 FACT, DIM, UNROUTED = "fact", "dim", "unrouted"
 DIM_SINK_TYPE = "hbase"  # fixed value: the sink type that marks a dimension rule
 
+# Columns of a rule (fixed values).
 RULE_COLUMNS = (
     "source_table",
     "operate_type",
@@ -83,7 +84,8 @@ def route_changes(changes: DataFrame, rules: DataFrame) -> DataFrame:
 
     ``data`` becomes ``map<string,variant>`` pruned to the rule's column list (exact
     names, no trimming).  ``rules`` holds one rule per key.  Unmatched changes keep
-    their whole image.
+    their whole image, and so do changes of a dimension that lack a part of its key: they
+    are unrouted too.
     """
     same = (F.col("tableName") == F.col("source_table")) & (F.col("type") == F.col("operate_type"))
     return route_matched(changes.join(rules.select(*RULE_COLUMNS), same, "left"))
@@ -92,15 +94,20 @@ def route_changes(changes: DataFrame, rules: DataFrame) -> DataFrame:
 def route_matched(matched: DataFrame) -> DataFrame:
     """The second half of ``route_changes``, for changes that carry the columns of their rule (null: none)."""
     matched = decode_image(matched)
+    names = F.split(F.coalesce(F.nullif(F.trim("sink_pk"), F.lit("")), F.lit(DEFAULT_KEY)), ",")
+    names = F.transform(names, F.trim)
+    cell = lambda name: F.try_element_at("data", name)
+    # a row without its key can be no row of a dimension: it stays whole, for the audit
+    keyless = F.exists(names, lambda name: cell(name).isNull() | F.is_variant_null(cell(name)))
     route = (
         F.when(F.col("source_table").isNull(), UNROUTED)
+        .when((F.col("sink_type") == DIM_SINK_TYPE) & keyless, UNROUTED)
         .when(F.col("sink_type") == DIM_SINK_TYPE, DIM)
         .otherwise(FACT)
     )
-    names = F.split(F.coalesce(F.nullif(F.trim("sink_pk"), F.lit("")), F.lit(DEFAULT_KEY)), ",")
     listed = F.split("sink_columns", ",")
     # a dimension row needs its key, listed or not
-    columns = F.when(F.col("route") == DIM, F.concat(listed, F.transform(names, F.trim))).otherwise(listed)
+    columns = F.when(F.col("route") == DIM, F.concat(listed, names)).otherwise(listed)
     pruned = F.map_filter(F.col("data"), lambda k, v: F.array_contains(columns, k))
     return matched.withColumn("route", route).withColumn(
         "data", F.when(F.col("route") == UNROUTED, F.col("data")).otherwise(pruned)

@@ -162,10 +162,10 @@ ORACLE: dict[str, str] = {
     "log_start": f"with {LOG} select seq, mid, ts from log where route = 'start'",
     "log_page": f"with {LOG} select seq, mid, page_id, last_page_id, ts from page",
     "log_display_explode": f"""with {LOG}
-        select seq, cast(seq % 1000 as varchar) as item, 'sku_id' as item_type, page_id,
+        select seq, cast(seq % 1000 as varchar) as item, 'article' as item_type, page_id,
                cast(1 as integer) as order_no, cast(6 as integer) as n_fields
         from log where route = 'display'
-        union all select seq, cast(seq % 777 as varchar), 'sku_id', page_id, 2, 6
+        union all select seq, cast(seq % 777 as varchar), 'article', page_id, 2, 6
         from log where route = 'display'""",
     "log_outputs": f"""with {TOPIC_ROWS} select topic, reason, count(*) as n,
         cast(sum(case when fixed = '1' then 1 else 0 end) as bigint) as n_new
@@ -280,18 +280,25 @@ ORACLE: dict[str, str] = {
     "stream_session": f"with {NEIGHBOURS} select mid, seq, ts from n where {IN_SESSION} and {DECIDED}",
     "stream_session_windows": f"""with {SESSIONS} select mid, first_ts, last_ts, n_rows from sessions
         where last_ts + {BOUND} <= (select max(ts) - {WATERMARK_DELAY} from page)""",
-    "stream_interval_join": f"""with {PAIRS} select detail_id, order_id, sku_id, order_price, sku_num,
+    "stream_interval_join": f"""with {PAIRS} select detail_id, order_id, sku_id, order_price, sku_num, province_id,
         order_status, user_id, total_amount, expire_time, create_date, create_hour, split_total_amount from pairs""",
     "stream_order_wide": f"""with {PAIRS}, {DIMS} select detail_id, order_id, age as user_age, gender as user_gender,
+        p.name as province_name, area_code as province_area_code, iso_code as province_iso_code,
+        iso_3166_2 as province_3166_2_code,
         cast(spu_id as bigint) as spu_id, tm_name, category3_name, spu_name
-        from pairs left join dim_user u on user_id = u.id left join dim_sku_wide s on sku_id = s.id""",
+        from pairs left join dim_user u on user_id = u.id left join dim_province p on province_id = p.id
+        left join dim_sku_wide s on sku_id = s.id""",
     "stream_route": """select case o_orderkey % 5 when 0 then 'dwd_order_info_u' when 2 then 'unrouted_changes'
         else 'dwd_order_info' end as topic, o_orderkey from orders where o_orderkey % 5 <> 1""",
     "stream_dim_upsert": """select cast(c_custkey as varchar) as c_custkey, c_name, c_mktsegment from customer""",
+    "dim_schema_change": """select cast(c_custkey as varchar) as c_custkey, c_name,
+        case when c_custkey >= (select max(c_custkey) * 2 // 4 from customer) then c_mktsegment end as c_mktsegment
+        from customer""",
     "stream_route_pulled": """select t as topic, t as sink_table, count(*) as n from (
         select case o_orderkey % 5 when 0 then 'dwd_order_info_u' else 'dwd_order_info' end as t
         from orders where o_orderkey % 5 in (0, 3, 4)) group by t""",
 }
+ORACLE["stream_order_wide_from_feed"] = ORACLE["stream_order_wide"]
 ORACLE["stream_uv_daily"] = ORACLE["uv_daily"]
 # The time zone of the local form is eight hours ahead all year.
 ORACLE["stream_uv_daily_local"] = ORACLE["uv_daily"].replace("make_timestamp(ts * 1000)", "make_timestamp((ts + 28800000) * 1000)")

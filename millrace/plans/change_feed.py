@@ -17,7 +17,7 @@ from millrace.operators.changefeed import (
     normalise,
     only_tables,
 )
-from millrace.operators.dimensions import create_dim_table, dim_changes
+from millrace.operators.dimensions import add_missing_columns, create_dim_table, dim_changes, key_columns
 from millrace.operators.routing import (
     DIM_SINK_TYPE,
     FACT,
@@ -32,7 +32,7 @@ from millrace.sinks.topics import fact_outputs, is_complete, write_topics
 from millrace.streaming.ledger import Ledger
 from millrace.streaming.snapshot import Snapshot
 
-ODS_TOPIC = "ods_base_db"
+ODS_TOPIC = "ods_base_db"  # fixed value
 UNROUTED_TOPIC = "unrouted_changes"
 DIRTY_TOPIC = "dirty_changes"
 
@@ -73,12 +73,22 @@ def changes_routed(
     return route_changes(nonempty(changes, keep_deletes, read_as_insert), bounded_rules(rules))
 
 
-def create_dim_tables(rules: DataFrame, database: str) -> None:
-    """Create the table of every dimension rule; one rule at a time reaches the driver."""
-    for r in rules.where(F.col("sink_type") == DIM_SINK_TYPE).toLocalIterator():
-        create_dim_table(
-            rules.sparkSession, database, r.sink_table, r.sink_columns, r.sink_pk, r.sink_extend
-        )
+def create_dim_tables(
+    rules: DataFrame, database: str, known: DataFrame | None = None, evolve: bool = False
+) -> None:
+    """Create the table of every dimension rule that is not among the ``known`` ones.
+
+    With ``evolve`` a table that exists gets the columns it lacks.  One rule at a time reaches the driver, and the
+    catalog is asked about changed rules only.
+    """
+    changed = rules.where(F.col("sink_type") == DIM_SINK_TYPE).select(*RULE_COLUMNS)
+    if known is not None:
+        changed = changed.exceptAll(known.select(*RULE_COLUMNS))
+    spark = rules.sparkSession
+    for r in changed.toLocalIterator():
+        create_dim_table(spark, database, r.sink_table, r.sink_columns, r.sink_pk, r.sink_extend)
+        if evolve:
+            add_missing_columns(spark, database, r.sink_table, [*key_columns(r.sink_pk), *r.sink_columns.split(",")])
 
 
 def batch_rules(load_rules: Callable[[], DataFrame], root: str, batch_id: int) -> DataFrame:
@@ -87,6 +97,16 @@ def batch_rules(load_rules: Callable[[], DataFrame], root: str, batch_id: int) -
     if not is_complete(spark, path):
         texts = [F.col(c).cast("string").alias(c) for c in RULE_COLUMNS]
         load_rules().select(*texts).write.mode("overwrite").parquet(path)
+    return _read_rules(spark, path)
+
+
+def rules_before(root: str, batch_id: int) -> DataFrame | None:
+    """The rules of the micro-batch before, where they are kept."""
+    spark, path = SparkSession.active(), f"{root.rstrip('/')}/batch_id={batch_id - 1}"
+    return _read_rules(spark, path) if batch_id and is_complete(spark, path) else None
+
+
+def _read_rules(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(", ".join(f"{c} string" for c in RULE_COLUMNS)).parquet(path)
 
 
@@ -101,6 +121,7 @@ def change_feed_job(
     read_as_insert: bool = False,
     unrouted_topic: str = UNROUTED_TOPIC,
     dirty_topic: str = DIRTY_TOPIC,
+    evolve_dims: bool = False,
 ) -> DataStreamWriter:
     """Streaming: rules are read again at the start of every micro-batch.
 
@@ -108,13 +129,16 @@ def change_feed_job(
     that is not one JSON object goes to the dirty topic.  A rule takes effect with the
     next batch, whose rules are kept under ``out_root`` + ``-rules``; rows no rule matches
     are kept in the audit topic with their whole envelope, to be fed in again once a rule exists.
+    With a ``dim_database`` the tables of new dimension rules are created there; with ``evolve_dims`` a rule
+    that names more columns than before alters its table, once.
     """
     is_text = "value" in changes.columns and "data" not in changes.columns
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        rules = batch_rules(load_rules, f"{out_root.rstrip('/')}-rules", batch_id)
+        kept = f"{out_root.rstrip('/')}-rules"
+        rules = batch_rules(load_rules, kept, batch_id)
         if dim_database:
-            create_dim_tables(rules, dim_database)
+            create_dim_tables(rules, dim_database, rules_before(kept, batch_id), evolve_dims)
         parsed = decode_envelope(batch, keep_dirty=True) if is_text else batch
         parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
         routed = changes_routed(parsed, rules, keep_deletes, read_as_insert)

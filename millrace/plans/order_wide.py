@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from millrace.functions.jsontext import encode
-from millrace.operators.orders import enrich, interval_join, parse_details, parse_orders
+from millrace.operators.dimensions import unique_dims
+from millrace.operators.orders import WIDE_DIMS, enrich, interval_join, parse_details, parse_orders
 from millrace.sinks.topics import write_topics
 from millrace.streaming.orders import interval_join_stream
 from millrace.streaming.snapshot import Snapshot
 
-ORDER_WIDE_TOPIC = "dwm_order_wide"
+ORDER_WIDE_TOPIC = "dwm_order_wide"  # fixed value
 
 
 def order_wide(
@@ -27,13 +28,13 @@ def order_wide(
 ) -> DataFrame:
     """Batch: enriched wide rows from JSON text."""
     wide = interval_join(parse_orders(order_lines), parse_details(detail_lines), bound_ms)
-    return enrich(wide, dims, as_of)
+    return enrich(wide, unique_dims(dims, WIDE_DIMS), as_of)
 
 
 def order_wide_job(
     order_lines: DataFrame,
     detail_lines: DataFrame,
-    dims: Mapping[str, Snapshot],
+    dims: Mapping[str, Snapshot] | Callable[[], Mapping[str, DataFrame]],
     out_root: str,
     checkpoint: str,
     bound_ms: int = 5_000,
@@ -41,14 +42,19 @@ def order_wide_job(
     as_of: str | None = None,
     topic: str = ORDER_WIDE_TOPIC,
 ) -> DataStreamWriter:
-    """Streaming: stream-stream join, then lookups in snapshots of bounded age."""
+    """Streaming: stream-stream join, then lookups in snapshots of bounded age.
+
+    ``dims`` holds a snapshot per dimension, or is called once per micro-batch for all of them
+    (``DimFeed.latest``), so that the lookups of a batch see one version of every table.
+    """
     wide = interval_join_stream(order_lines, detail_lines, bound_ms, delay)
 
     def process(batch: DataFrame, batch_id: int) -> None:
         pairs = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            pairs.count()  # its measured size decides whether its keys are broadcast
-            rows = enrich(pairs, {name: s.get() for name, s in dims.items()}, as_of, narrow=True)
+            n_rows = pairs.count()  # its measured size decides whether its keys are broadcast
+            tables = dims() if callable(dims) else {name: s.get() for name, s in dims.items()}
+            rows = enrich(pairs, tables, as_of, narrow=True, n_rows=n_rows)
             value = encode(F.struct(*rows.columns), keep_nulls=True)
             outputs = rows.select(F.lit(topic).alias("topic"), value.alias("value"))
             write_topics(outputs, out_root, batch_id)

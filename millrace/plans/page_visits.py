@@ -12,6 +12,7 @@ from millrace.sinks.topics import write_topics
 from millrace.streaming.jumpout import jumpouts_stream
 from millrace.streaming.visits import daily_first_visits_stream
 
+# Topic names (fixed values).
 UNIQUE_VISIT_TOPIC = "dwm_unique_visit"
 JUMP_OUT_TOPIC = "dwm_user_jump_out"
 

@@ -24,7 +24,7 @@ from millrace.plans.order_wide import order_wide, order_wide_job
 from millrace.plans.page_visits import jumpouts_job, page_rows, unique_visits_job
 from millrace.session import state_settings, work_dir
 from millrace.sinks.topics import fact_outputs, topic_files, write_quarantine, write_topics
-from millrace.streaming.dimensions import current_dim, dim_ledger
+from millrace.streaming.dimensions import DimFeed, current_dim, dim_ledger
 from millrace.streaming.jumpout import jumpouts_stream, page_sessions_stream
 from millrace.streaming.newuser import device_ledger
 from millrace.streaming.orders import interval_join_stream
@@ -286,7 +286,7 @@ def dim_user_age(spark, sf):
 
 def _lookup(spark: SparkSession, sf: str, spec: dimensions.DimSpec, source: str, key: str) -> DataFrame:
     left = fx.table(spark, sf, source).select(key).withColumnRenamed(key, spec.left_key)
-    joined = dimensions.join_dim(left, fx.dimensions(spark, sf), spec)
+    joined = dimensions.join_dim(left, dimensions.unique_dims(fx.dimensions(spark, sf), [spec]), spec)
     return joined.groupBy(*dimensions.added_columns(spec)).agg(F.count("*").alias("n"))
 
 
@@ -444,11 +444,6 @@ def _collected(spark: SparkSession, rows: DataFrame, name: str, mode: str = "app
 
 
 def _line_stream(spark: SparkSession, sf: str) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return fx.lines_from_events(fx.table_stream(spark, sf, "events"))
-
-
-def _sliced_lines(spark: SparkSession, sf: str) -> DataFrame:
     """The log lines in several micro-batches, in order of time."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return fx.lines_from_events(fx.sliced_stream(spark, sf, "events", "ts"))
@@ -469,14 +464,14 @@ def stream_isnew(spark, sf):
 
 @query
 def stream_uv_daily(spark, sf):
-    rows = daily_first_visits_stream(page_rows(_sliced_lines(spark, sf)))
+    rows = daily_first_visits_stream(page_rows(_line_stream(spark, sf)))
     return _collected(spark, rows.select("mid", "day", "seq", "ts"), "uv", "update")
 
 
 @query
 def stream_uv_daily_local(spark, sf):
     """The same with the days of another time zone."""
-    pages = page_rows(_sliced_lines(spark, sf))
+    pages = page_rows(_line_stream(spark, sf))
     spark.conf.set("spark.sql.session.timeZone", "Asia/Shanghai")
     try:
         rows = daily_first_visits_stream(pages)
@@ -529,16 +524,28 @@ def stream_session_windows(spark, sf):
 
 
 def _order_streams(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Orders and details in several micro-batches each, in order of time."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    province = F.lit(None).cast("bigint")
-    lines = fx.order_texts_from(fx.table_stream(spark, sf, "orders"), province)
-    return lines, fx.detail_texts_from(fx.table_stream(spark, sf, "lineitem"))
+    rows = fx.with_province(spark, sf, fx.sliced_stream(spark, sf, "orders", "o_orderdate"))
+    lines = fx.order_texts_from(rows, F.col("c_nationkey"))
+    return lines, fx.detail_texts_from(fx.sliced_stream(spark, sf, "lineitem", "l_shipdate"))
 
 
 @query
 def stream_interval_join(spark, sf):
     wide = interval_join_stream(*_order_streams(spark, sf), INTERVAL_MS)
-    return _collected(spark, wide.select(*[c for c in WIDE_CORE if c != "province_id"]), "interval")
+    return _collected(spark, wide.select(*WIDE_CORE), "interval")
+
+
+def _wide_texts(spark: SparkSession, root: str) -> DataFrame:
+    """The enriched part of the wide rows a job wrote."""
+    schema = (
+        "detail_id bigint, order_id bigint, user_age int, user_gender string, province_name string, "
+        "province_area_code string, province_iso_code string, province_3166_2_code string, "
+        "spu_id bigint, tm_name string, category3_name string, spu_name string"
+    )
+    value = F.from_json("value", schema)
+    return topic_files(spark, root, "dwm_order_wide").select(value.alias("r")).select("r.*")
 
 
 @query
@@ -554,24 +561,36 @@ def stream_order_wide(spark, sf):
     finally:
         for snapshot in held.values():
             snapshot.invalidate()
-    schema = (
-        "detail_id bigint, order_id bigint, user_age int, user_gender string, "
-        "spu_id bigint, tm_name string, category3_name string, spu_name string"
+    return _wide_texts(spark, f"{root}/out")
+
+
+@query
+def stream_order_wide_from_feed(spark, sf):
+    """Two chained jobs: the change feed fills the six dimensions, the wide rows look them up there."""
+    streams = _order_streams(spark, sf)
+    root = work_dir(spark, "wide-from-feed")
+    ledger = dim_ledger(spark, f"{root}/dims")
+    changes = changefeed.normalise(fx.dimension_records(spark, sf))
+    _finish(
+        change_feed_job(changes, lambda: fx.dimension_rules(spark), f"{root}/facts", ledger, f"{root}/feed-checkpoint")
     )
-    value = F.from_json("value", schema)
-    return topic_files(spark, f"{root}/out", "dwm_order_wide").select(value.alias("r")).select("r.*")
+    feed = DimFeed(ledger, fx.DIM_COLUMNS)
+    _finish(
+        order_wide_job(*streams, feed.latest, f"{root}/out", f"{root}/checkpoint", INTERVAL_MS, as_of=AS_OF)
+    )
+    return _wide_texts(spark, f"{root}/out")
 
 
 def _change_stream(spark: SparkSession, sf: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return changefeed.normalise(fx.order_changes(fx.table_stream(spark, sf, "orders")))
+    return changefeed.normalise(fx.order_changes(fx.sliced_stream(spark, sf, "orders", "o_orderkey")))
 
 
 @query
 def stream_route(spark, sf):
     """Two chained jobs: change records to envelope text, text to facts and unrouted rows."""
     root = work_dir(spark, "change-feed")
-    records = fx.order_changes(fx.table_stream(spark, sf, "orders"))
+    records = fx.order_changes(fx.sliced_stream(spark, sf, "orders", "o_orderkey"))
     _finish(ods_job(records, f"{root}/ods", f"{root}/ods-checkpoint"))
     text = topic_files(spark, f"{root}/ods", ODS_TOPIC, streaming=True, columns="value string, seq bigint")
     job = change_feed_job(
@@ -604,6 +623,24 @@ def stream_dim_upsert(spark, sf):
     return current_dim(dims, last, "dim_user_info", columns, ["c_custkey"])
 
 
+@query
+def dim_schema_change(spark, sf):
+    """A dimension whose rule gains a column after half of its rows: older rows have no value there."""
+    root = work_dir(spark, "dim-schema")
+    dims, calls = dim_ledger(spark, f"{root}/dims"), []
+    before, after = fx.rules_that_grow(spark)
+
+    def load_rules() -> DataFrame:
+        calls.append(1)
+        return before if len(calls) <= 2 else after
+
+    records = fx.customer_changes(fx.sliced_stream(spark, sf, "customer", "c_custkey", limits=fx.quarters(spark, sf)))
+    _finish(
+        change_feed_job(changefeed.normalise(records), load_rules, f"{root}/facts", dims, f"{root}/checkpoint")
+    )
+    return current_dim(dims, dims.newest(), "dim_user_info", ["c_custkey", "c_name", "c_mktsegment"], ["c_custkey"])
+
+
 @query
 def stream_route_pulled(spark, sf):
     root = work_dir(spark, "pulled-rules")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,12 +16,13 @@ CHANGE_SCHEMA = "sink_table string, sink_columns string, sink_pk string, seq {or
 
 
 def dim_ledger(spark: SparkSession, root: str, every: int = 100, order_type: str = "bigint") -> Ledger:
-    """Upserts of all dimension tables, compacted to one per key and generation.
+    """Upserts of all dimension tables, a folder each, compacted to one per key and generation.
 
     ``order_type`` is the type of ``seq``: for topics
     ``struct<timestamp:timestamp,partition:int,offset:bigint>``.
     """
-    return Ledger(spark, root, CHANGE_SCHEMA.format(order=order_type), compact_upserts, every)
+    schema = CHANGE_SCHEMA.format(order=order_type)
+    return Ledger(spark, root, schema, compact_upserts, every, partition_by=("sink_table",))
 
 
 def compact_upserts(changes: DataFrame) -> DataFrame:
@@ -62,6 +64,40 @@ def current_dim(
     return current_rows(changes, columns, key, order=("batch_id", "seq"))
 
 
+@dataclass(frozen=True)
+class DimFeed:
+    """The dimension tables a change feed writes, as other jobs look them up.
+
+    Every committed batch of the feed is a version of all tables.  A reader picks one version and sees every
+    table as that batch left it, whatever the feed writes meanwhile.  ``tables`` names the columns of
+    each table and ``keys`` its key columns (default ``id``).
+    """
+
+    ledger: Ledger
+    tables: Mapping[str, Sequence[str]]
+    keys: Mapping[str, Sequence[str]] = field(default_factory=dict)
+
+    def version(self, max_age: float | None = None) -> int | None:
+        """The newest version; an error if it is more than ``max_age`` seconds old."""
+        return self.ledger.newest(max_age)
+
+    def at(self, version: int | None) -> dict[str, DataFrame]:
+        """Every table as of a version: empty ones before the first.
+
+        A table is an aggregate of its upserts by key, so a lookup that knows its keys aggregates the upserts
+        of these keys only.
+        """
+        return {name: self._table(name, columns, version) for name, columns in self.tables.items()}
+
+    def latest(self, max_age: float | None = None) -> dict[str, DataFrame]:
+        return self.at(self.version(max_age))
+
+    def _table(self, name: str, columns: Sequence[str], version: int | None) -> DataFrame:
+        if version is None:
+            return self.ledger.spark.createDataFrame([], ", ".join(f"`{c}` string" for c in columns))
+        return current_dim(self.ledger, version, name, columns, self.keys.get(name, (DEFAULT_KEY,)))
+
+
 def publish_dim(
     ledger: Ledger,
     batch_id: int,

@@ -9,6 +9,7 @@ executor or a restart gives the same result.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -19,6 +20,10 @@ from pyspark.sql import types as T
 from millrace.sinks.topics import is_complete, path_exists
 
 
+class StaleLedger(RuntimeError):
+    """The newest increment is older than its reader allows."""
+
+
 def keep_all(rows: DataFrame) -> DataFrame:
     return rows
 
@@ -30,6 +35,8 @@ class Ledger:
     schema: str
     compact: Callable[[DataFrame], DataFrame] = keep_all
     every: int = 100
+    # columns that part every increment into folders, so that a filter on them reads only its own
+    partition_by: tuple[str, ...] = ()
 
     def append(self, batch_id: int, rows: DataFrame) -> DataFrame:
         """Write the increment of a batch once and return it as read back."""
@@ -41,7 +48,7 @@ class Ledger:
             if given.get(column.name) != wanted:
                 raise ValueError(f"{column.name} is {given.get(column.name)}, the ledger holds {wanted}")
         if not is_complete(self.spark, path):
-            rows.write.mode("overwrite").parquet(path)
+            rows.write.mode("overwrite").partitionBy(*self.partition_by).parquet(path)
         return self.spark.read.schema(self.schema).parquet(path)
 
     def before(self, batch_id: int) -> DataFrame:
@@ -54,6 +61,22 @@ class Ledger:
         self._ensure_base(batch_id)
         return self._read(self._generation(batch_id), batch_id + 1)
 
+    def newest(self, max_age: float | None = None, clock: Callable[[], float] = time.time) -> int | None:
+        """The last batch whose increment is committed, None before the first.
+
+        With ``max_age`` an increment that was committed more than so many seconds ago is an error: the job that writes
+        the ledger, one increment per batch, has fallen behind.
+        """
+        jvm = self.spark._jvm
+        pattern = jvm.org.apache.hadoop.fs.Path(f"{self.root.rstrip('/')}/gen=*/batch_id=*/_SUCCESS")
+        found = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+        last = max(((int(f.getPath().getParent().getName()[9:]), f.getModificationTime()) for f in found), default=None)
+        if last is None:
+            return None
+        if max_age is not None and clock() - last[1] / 1000 > max_age:
+            raise StaleLedger(f"batch {last[0]} of {self.root} is more than {max_age} seconds old")
+        return last[0]
+
     def _ensure_base(self, batch_id: int) -> None:
         generation = batch_id // self.every
         if generation == 0:
@@ -63,7 +86,8 @@ class Ledger:
         if not is_complete(self.spark, base):
             self._ensure_base(first - 1)
             old = self._read(self._generation(first - 1), first)
-            self.compact(old).drop("batch_id").write.mode("overwrite").parquet(base)
+            folded = self.compact(old).drop("batch_id")
+            folded.write.mode("overwrite").partitionBy(*self.partition_by).parquet(base)
 
     def _generation(self, batch_id: int) -> str:
         return f"{self.root.rstrip('/')}/gen={batch_id // self.every}"
