@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from millrace.operators.orders import MONEY
 from millrace.operators.routing import RULE_COLUMNS
 from millrace.session import work_dir
+from millrace.sources.changes import table_snapshot
 
 TOPIC_PREFIX = "changes.retail"
 BIG_TABLES = ("events", "orders", "lineitem")
@@ -159,6 +160,43 @@ def order_changes(orders: DataFrame) -> DataFrame:
     )
 
 
+def order_history(orders: DataFrame) -> DataFrame:
+    """``topic, seq, value``: what happened to each order, at the position of its key.
+
+    Of five orders one is updated and one deleted, both there before the log begins, one never changes, two are created.
+    """
+    k = F.col("o_orderkey") % 5
+    op = F.when(k == 0, "u").when(k == 1, "d").otherwise("c")
+    row = order_image(F.lit("new"))
+    old = order_image(F.lit("old"))
+    return orders.where(k != 2).select(
+        F.lit(f"{TOPIC_PREFIX}.order_info").alias("topic"),
+        F.col("o_orderkey").alias("seq"),
+        _record(op, F.when(k.isin(0, 1), old), F.when(k != 1, row)).alias("value"),
+    )
+
+
+def order_image(status: Column) -> Column:
+    return F.struct(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("user_id"), status.alias("status"))
+
+
+def order_snapshot(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The order table as it was in the middle of ``order_history``, and the fences around its reading."""
+    orders = table(spark, sf_dir, "orders")
+    last = orders.agg(F.max("o_orderkey")).first()[0] or 0
+    k, at = F.col("o_orderkey") % 5, last // 2
+    done = F.col("o_orderkey") <= at
+    held = (k.isin(0, 2)) | ((k == 1) & ~done) | (k.isin(3, 4) & done)
+    status = F.when((k == 2) | ~done, "old").otherwise("new")
+    rows = table_snapshot(
+        orders.where(held).select(order_image(status).alias("i")).select("i.*"), "retail", "order_info", F.lit(0).cast("bigint")
+    )
+    fences = spark.createDataFrame(
+        [("retail", "order_info", last * 4 // 10, last * 6 // 10)], "database string, tableName string, low bigint, high bigint"
+    )
+    return rows, fences
+
+
 def customer_changes(customer: DataFrame) -> DataFrame:
     return _changes(customer, "user_info", "c_custkey")
 
@@ -197,9 +235,9 @@ def rules_that_grow(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
     return spark.createDataFrame(before, columns), spark.createDataFrame(after, columns)
 
 
-def quarters(spark: SparkSession, sf_dir: str) -> list[int]:
-    """The customer keys that begin the second to fourth quarter of the key range."""
-    last = table(spark, sf_dir, "customer").agg(F.max("c_custkey")).first()[0] or 0
+def quarters(spark: SparkSession, sf_dir: str, name: str = "customer", by: str = "c_custkey") -> list[int]:
+    """The keys that begin the second to fourth quarter of the key range of a table."""
+    last = table(spark, sf_dir, name).agg(F.max(by)).first()[0] or 0
     return [last * k // 4 for k in (1, 2, 3)]
 
 
@@ -316,6 +354,17 @@ def order_texts_from(orders: DataFrame, province: Column) -> DataFrame:
     )
 
 
+def faulty(lines: DataFrame, number: Column) -> DataFrame:
+    """Record texts, some of them damaged by ``number``: cut off, without key, without time."""
+    value = F.col("value")
+    damaged = (
+        F.when(number % 50 == 0, F.substring("value", 1, 9))
+        .when(number % 50 == 1, F.regexp_replace(value, r'^\{"id":\d+', '{"id":null'))
+        .when(number % 50 == 2, F.regexp_replace(value, r'"create_time":"[^"]*"', '"create_time":"soon"'))
+    )
+    return lines.withColumn("value", F.coalesce(damaged, value))
+
+
 def detail_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detail_texts_from(table(spark, sf_dir, "lineitem"))
 

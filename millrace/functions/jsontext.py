@@ -53,6 +53,20 @@ def encode(obj: Column, keep_nulls: bool = False) -> Column:
     return F.to_json(obj, {"ignoreNullFields": "false" if keep_nulls else "true"})
 
 
+# One JSON string; every quote outside a string begins one, so a scan from the left stays in step.
+_STRING = r'"(?:[^"\\]|\\.)*+"'
+
+
+def without_nulls(text: Column) -> Column:
+    """JSON text as ``to_json`` writes it, without the fields that are null, at every level.
+
+    Nulls in arrays stay.  Strings are passed over whole, so what they hold is never taken for a field.
+    """
+    fields = F.regexp_replace(text, rf"{_STRING}:null,?|({_STRING})", "$1")
+    ends = F.regexp_replace(fields, rf"({_STRING})|,(?=\}})", "$1")
+    return F.when(text.contains(":null"), ends).otherwise(text)
+
+
 def drop_nulls(obj: Column) -> Column:
     """Remove entries that are JSON null from a ``map<string,variant>``."""
     return F.map_filter(obj, lambda k, v: ~F.is_variant_null(v))

@@ -15,6 +15,7 @@ from millrace.functions.jsontext import (
     parsed_object,
     present,
     with_parsed,
+    without_nulls,
 )
 
 START, DISPLAY, PAGE, DIRTY = "start", "display", "page", "dirty"
@@ -33,7 +34,7 @@ class LogTopics:
 def valid_lines(lines: DataFrame, text: str = "value") -> DataFrame:
     """Lines that are one JSON object, re-encoded without null fields."""
     parsed = with_parsed(lines, parsed_object(F.col(text)), "_doc").where("_doc is not null")
-    return parsed.withColumn(text, encode(drop_nulls(F.col("_doc")))).drop("_doc")
+    return parsed.withColumn(text, without_nulls(encode(drop_nulls(F.col("_doc"))))).drop("_doc")
 
 
 def dirty_lines(lines: DataFrame, text: str = "value") -> DataFrame:
@@ -119,8 +120,8 @@ def log_outputs(
     )
     value = (
         F.when(F.col("route") == DIRTY, F.col("value"))
-        .when(is_item, encode(drop_nulls(_with_page_id())))
-        .otherwise(encode(drop_nulls(line_object(routed))))
+        .when(is_item, without_nulls(encode(drop_nulls(_with_page_id()))))
+        .otherwise(without_nulls(encode(drop_nulls(line_object(routed)))))
     )
     passed = [c for c in ("seq",) if c in rows.columns]
     return rows.select(

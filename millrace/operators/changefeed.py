@@ -87,11 +87,15 @@ def decode_envelope(lines: DataFrame, text: str = "value", keep_dirty: bool = Fa
     return parsed.select(*passed, *[field("_doc", c).alias(c) for c in ENVELOPE], *(dirty if keep_dirty else []))
 
 
-def only_tables(changes: DataFrame, tables: Sequence[str] = ()) -> DataFrame:
-    """Keep changes of the given ``database.table`` names; none given keeps all."""
+def only_tables(changes: DataFrame, tables: Sequence[str] = (), keep: str | None = None) -> DataFrame:
+    """Keep changes of the given ``database.table`` names; none given keeps all.
+
+    Rows with a value in the column ``keep`` stay whatever their table, such as records that name none.
+    """
     if not tables:
         return changes
-    return changes.where(F.concat_ws(".", "database", "tableName").isin(list(tables)))
+    wanted = F.concat_ws(".", "database", "tableName").isin(list(tables))
+    return changes.where(wanted | F.col(keep).isNotNull() if keep else wanted)
 
 
 def nonempty(

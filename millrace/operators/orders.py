@@ -103,32 +103,78 @@ SKU = DimSpec(
 WIDE_DIMS = (USER, PROVINCE, SKU)
 
 
-def parse_orders(lines: DataFrame, text: str = "value") -> DataFrame:
-    """Order records plus ``create_date, create_hour, create_ts``."""
-    orders = _parse(lines, text, ORDER_FIELDS)
+def parse_orders(lines: DataFrame, text: str = "value", keep_dirty: bool = False) -> DataFrame:
+    """Order records plus ``create_date, create_hour, create_ts``; see ``_parse`` for ``keep_dirty``."""
+    orders = _parse(lines, text, ORDER_FIELDS, ("id",), keep_dirty)
     return orders.withColumns(
         {
             "create_date": date_part(F.col("create_time")),
             "create_hour": hour_part(F.col("create_time")),
-            "create_ts": time_millis(F.col("create_time")),
         }
     )
 
 
-def parse_details(lines: DataFrame, text: str = "value") -> DataFrame:
-    """Order detail records plus ``create_ts``."""
-    details = _parse(lines, text, DETAIL_FIELDS)
-    return details.withColumn("create_ts", time_millis(F.col("create_time")))
+def parse_details(lines: DataFrame, text: str = "value", keep_dirty: bool = False) -> DataFrame:
+    """Order detail records plus ``create_ts``; see ``_parse`` for ``keep_dirty``."""
+    return _parse(lines, text, DETAIL_FIELDS, ("id", "order_id"), keep_dirty)
 
 
-def _parse(lines: DataFrame, text: str, fields: Mapping[str, str]) -> DataFrame:
-    schema = "struct<" + ",".join(f"{n}:{t}" for n, t in fields.items()) + ">"
-    parsed = with_parsed(lines, F.array(F.from_json(F.col(text), schema)), "_o")
+def _parse(
+    lines: DataFrame, text: str, fields: Mapping[str, str], needed: Sequence[str], keep_dirty: bool
+) -> DataFrame:
+    """Records by their layout, with ``create_ts``.
+
+    A record that is no JSON object (such as one that was cut off), lacks a key or has no time can meet nothing.  With
+    ``keep_dirty`` such records keep their text and get a ``dirty_reason``; otherwise those that are no
+    JSON object are dropped and the others pass with nulls.
+    """
+    schema = "struct<" + ",".join(f"{n}:{t}" for n, t in fields.items()) + ",_broken:string>"
+    record = F.from_json(F.col(text), schema, {"columnNameOfCorruptRecord": "_broken"})
+    parsed = with_parsed(lines, F.array(record), "_o")
+    broken = F.col("_o").isNull() | F.col("_o._broken").isNotNull()
     columns = [F.col(f"_o.{n}").alias(n) for n in fields]
     passed = [c for c in lines.columns if c != text]
-    return parsed.select(*passed, *columns).withColumn(
-        "create_time", time_text(F.col("create_time"))
+    dirty = [F.col(text).alias("_text"), broken.alias("_is_broken")] if keep_dirty else []
+    rows = (parsed if keep_dirty else parsed.where(~broken)).select(*passed, *columns, *dirty)
+    rows = rows.withColumn("create_time", time_text(F.col("create_time")))
+    rows = rows.withColumn("create_ts", time_millis(F.col("create_time")))
+    if not keep_dirty:
+        return rows
+    lacking = F.lit(False)
+    for name in needed:
+        lacking = lacking | F.col(name).isNull()
+    reason = (
+        F.when(F.col("_is_broken"), "not_json_object")
+        .when(lacking, "no_key")
+        .when(F.col("create_ts").isNull(), "no_time")
     )
+    rows = rows.withColumn("dirty_reason", reason)
+    return rows.withColumn(text, F.when(F.col("dirty_reason").isNotNull(), F.col("_text"))).drop("_text", "_is_broken")
+
+
+def dirty_records(parsed: DataFrame, text: str = "value") -> DataFrame:
+    """``value, reason`` of the records a parse with ``keep_dirty`` found fault with."""
+    return parsed.where("dirty_reason is not null").select(F.col(text).alias("value"), F.col("dirty_reason").alias("reason"))
+
+
+def unmatched_orders(orders: DataFrame, details: DataFrame, bound_ms: int = 5_000) -> DataFrame:
+    """Orders without any detail created within ``bound_ms``: what the interval join leaves out.
+
+    Only the distinct (order, second) pairs of the details take part, so an order with very many details costs no more
+    than the seconds it spans.  With watermarked ``event_time`` columns the same plan runs on streams: an order comes
+    out, once, when the watermark has passed the end of its interval.
+    """
+    streaming = "event_time" in orders.columns and "event_time" in details.columns
+    at = ["order_id", "event_time"] if streaming else ["order_id", "create_ts"]
+    seen = details.select(*at).where(F.col(at[1]).isNotNull()).dropDuplicates(at)
+    o, d = orders.where(F.col("id").isNotNull() & F.col("create_ts").isNotNull()).alias("o"), seen.alias("d")
+    same = F.col("o.id") == F.col("d.order_id")
+    if not streaming:
+        near = F.col("d.create_ts").between(F.col("o.create_ts") - bound_ms, F.col("o.create_ts") + bound_ms)
+        return o.join(d, same & near, "left_anti")
+    bound = F.expr(f"interval {bound_ms} milliseconds")
+    near = F.col("d.event_time").between(F.col("o.event_time") - bound, F.col("o.event_time") + bound)
+    return o.join(d, same & near, "left_outer").where(F.col("d.order_id").isNull()).select("o.*")
 
 
 def interval_join(

@@ -44,6 +44,9 @@ IN_SESSION = f"""last_page_id is null and case when nts - ts <= {BOUND} then nla
 DECIDED = f"""(nts <= (select max(ts) - {WATERMARK_DELAY} from page)
   or ts + {BOUND} <= (select max(ts) - {WATERMARK_DELAY} from page))"""
 
+# The end of a row's window: its slice of 16 bounds, and a bound more.
+PASSED = f"""(ts // {16 * BOUND} + 1) * {16 * BOUND} + {BOUND} <= (select max(ts) - {WATERMARK_DELAY} from page)"""
+
 SESSIONS = f"""{LOG},
 marked as (
   select mid, ts, seq,
@@ -149,7 +152,16 @@ FACT_CELLS = """select seq, sink_table, o_orderkey, o_custkey, o_totalprice, o_o
   c_custkey, c_name, n_name, fields from r"""
 
 ORACLE: dict[str, str] = {
-    "log_valid": f"with {LOG} select seq, mid, ts from log where route <> 'dirty'",
+    "log_valid": f"""with {LOG} select seq, mid, ts, '{{"common":{{"is_new":"' || is_new || '","mid":"' || mid
+          || '","uid":"' || user_id || '","vc":"v' || (seq % 4) || '"}},'
+          || case when route = 'start' then '"start":{{"entry":"tile"}},' else
+             '"page":{{"during_time":' || cast(trunc(value * 100) as bigint)
+             || coalesce(',"last_page_id":"' || last_page_id || '"', '') || ',"page_id":"' || page_id || '"}},' end
+          || case when route = 'display' then '"displays":[' || list_aggregate([
+               '{{"display_type":"shelf","item":"' || (case n when 1 then seq % 1000 else seq % 777 end)
+               || '","item_type":"article","order":' || n || ',"pos_id":' || (n + 2) || '}}' for n in [1, 2]],
+               'string_agg', ',') || '],' else '' end
+          || '"ts":' || ts || '}}' as value from log where route <> 'dirty'""",
     "log_dirty": """select event_id as seq, '{"common":{"mid":"mid_' || user_id as value,
         'not_json_object' as reason from events where event_id % 50 = 0""",
     "log_parse": f"""with {LOG} select seq, 'v' || (seq % 4) as vc,
@@ -217,6 +229,15 @@ ORACLE: dict[str, str] = {
     "rules_current": """with r as (select *, row_number() over (partition by o_custkey order by o_orderkey desc) as rn
         from orders) select 't_' || o_custkey as source_table, 'insert' as operate_type,
         'dwd_' || o_orderkey as sink_table from r where rn = 1 and o_orderstatus <> 'F'""",
+    "cdc_initial": """with f as (select max(o_orderkey) * 4 // 10 as low, max(o_orderkey) * 6 // 10 as high,
+          max(o_orderkey) // 2 as mid from orders),
+        t as (select o_orderkey as id, o_orderkey % 5 as k from orders),
+        held as (select id, case when k = 2 or id > mid then 'old' else 'new' end as status from t, f
+          where (k in (0, 2) or (k = 1 and id > mid) or (k in (3, 4) and id <= mid))
+            and (k = 2 or id <= low or id > high))
+        select low as seq, 'read' as type, id, status from held, f
+        union all select id, case k when 0 then 'update' when 1 then 'delete' else 'insert' end, id,
+          case when k <> 1 then 'new' end from t, f where k <> 2 and id > low""",
     "cdc_route_asof": f"""with {FEED}, {RULE_LOG}, placed as (
         select case "tableName" when 'user_info' then seq * 10 else seq end as seq, "tableName", type
         from feed where type <> 'delete')
@@ -246,6 +267,26 @@ ORACLE: dict[str, str] = {
         original_total_amount, expire_time, operate_time, create_time, create_date, create_hour, create_ts from o""",
     "order_detail_parse": f"""with {ORDERS} select id, order_id, sku_id, sku_name, sku_num, order_price,
         split_total_amount, create_time, create_ts from d""",
+    "order_dirty": f"""with {ORDERS}, texts as (
+        select 'order' as kind, id from o union all select 'detail', id from d)
+        select 'dirty_orders' as topic, kind,
+          case id % 50 when 0 then 'not_json_object' when 1 then 'no_key' else 'no_time' end as reason, count(*) as n,
+          cast(sum(case when id % 50 = 0 then 9 else 0 end) as bigint) as n_chars
+        from texts where id % 50 < 3 group by all""",
+    "order_unmatched": f"""with {ORDERS} select id, user_id, create_ts from o where not exists (
+        select 1 from d where d.order_id = o.id
+          and d.create_ts between o.create_ts - {INTERVAL} and o.create_ts + {INTERVAL})""",
+    "stream_order_unmatched": f"""with {ORDERS}, w as (
+        select least((select max(create_ts) from o), (select max(create_ts) from d)) as mark)
+        select id from o, w where o.create_ts + {INTERVAL} < mark and not exists (
+        select 1 from d where d.order_id = o.id
+          and d.create_ts between o.create_ts - {INTERVAL} and o.create_ts + {INTERVAL})""",
+    "stream_late": f"""with {LOG}, m as (select max(user_id) as last from events),
+        placed as (select seq, ts, cast(user_id >= last // 4 as int) + cast(user_id >= last * 2 // 4 as int)
+            + cast(user_id >= last * 3 // 4 as int) as batch from page, m),
+        reached as (select b.batch, max(p.ts) - {WATERMARK_DELAY} as watermark
+          from (select distinct batch from placed) b join placed p on p.batch < b.batch - 1 group by b.batch)
+        select seq, watermark, ts from placed join reached using (batch) where ts <= watermark""",
     "order_interval_join": f"""with {PAIRS} select detail_id, order_id, sku_id, order_price, sku_num, province_id,
         order_status, user_id, total_amount, expire_time, create_date, create_hour, split_total_amount from pairs""",
     "order_wide_rows": f"""with {PAIRS}, {DIMS} select detail_id, order_id, sku_id, order_price, sku_num, sku_name,
@@ -278,6 +319,10 @@ ORACLE: dict[str, str] = {
         where {PATTERN} and {DECIDED}""",
     "stream_jumpout_job": f"with {NEIGHBOURS} select mid, ts from n where {PATTERN} and {DECIDED}",
     "stream_session": f"with {NEIGHBOURS} select mid, seq, ts from n where {IN_SESSION} and {DECIDED}",
+    "stream_jumpout_windows": f"""with {NEIGHBOURS} select mid, seq, ts, {REASON} as reason from n
+        where {PATTERN} and {PASSED}""",
+    "stream_jumpout_windows_job": f"with {NEIGHBOURS} select mid, ts from n where {PATTERN} and {PASSED}",
+    "stream_session_by_windows": f"with {NEIGHBOURS} select mid, seq, ts from n where {IN_SESSION} and {PASSED}",
     "stream_session_windows": f"""with {SESSIONS} select mid, first_ts, last_ts, n_rows from sessions
         where last_ts + {BOUND} <= (select max(ts) - {WATERMARK_DELAY} from page)""",
     "stream_interval_join": f"""with {PAIRS} select detail_id, order_id, sku_id, order_price, sku_num, province_id,

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from millrace.functions.jsontext import encode
 from millrace.operators.changefeed import (
+    ENVELOPE,
     decode_envelope,
     encode_envelope,
     nonempty,
@@ -28,6 +29,7 @@ from millrace.operators.routing import (
     routed_records,
     tag_by_pulled_rules,
 )
+from millrace.operators.startup import changes_after
 from millrace.sinks.topics import fact_outputs, is_complete, write_topics
 from millrace.streaming.ledger import Ledger
 from millrace.streaming.snapshot import Snapshot
@@ -44,14 +46,23 @@ def ods_job(
     tables: Sequence[str] = (),
     topic: str = ODS_TOPIC,
     dirty_topic: str = DIRTY_TOPIC,
+    first: Callable[[], DataFrame] | None = None,
+    fences: DataFrame | None = None,
 ) -> DataStreamWriter:
     """Streaming: change records of the given ``db.table`` names -> envelope text in one topic.
 
-    Records that cannot be read go to the dirty topic as they came.
+    Records that cannot be read go to the dirty topic as they came.  To start from a snapshot, ``first`` gives its rows
+    (``operators.startup.snapshot_rows``), which the first micro-batch puts in front, and ``fences`` the positions
+    up to which changes are in it.
     """
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        changes = only_tables(normalise(batch, keep_dirty=True), tables)
+        changes = normalise(batch, keep_dirty=True)
+        if fences is not None:
+            changes = changes_after(changes, fences)
+        if first is not None and batch_id == 0:
+            changes = changes.unionByName(first().select("seq", *ENVELOPE), allowMissingColumns=True)
+        changes = only_tables(changes, tables, keep="dirty_reason")
         dirty, text = F.col("dirty_reason").isNotNull(), F.col("value")
         envelopes = encode_envelope(changes.withColumn("_text", text)).select(
             F.when(dirty, dirty_topic).otherwise(topic).alias("topic"),

@@ -11,12 +11,22 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from millrace.functions.jsontext import encode
 from millrace.operators.dimensions import unique_dims
-from millrace.operators.orders import WIDE_DIMS, enrich, interval_join, parse_details, parse_orders
+from millrace.operators.orders import (
+    ORDER_FIELDS,
+    WIDE_DIMS,
+    dirty_records,
+    enrich,
+    interval_join,
+    parse_details,
+    parse_orders,
+)
 from millrace.sinks.topics import write_topics
-from millrace.streaming.orders import interval_join_stream
+from millrace.streaming.orders import interval_join_stream, unmatched_orders_stream
 from millrace.streaming.snapshot import Snapshot
 
 ORDER_WIDE_TOPIC = "dwm_order_wide"  # fixed value
+DIRTY_ORDERS_TOPIC = "dirty_orders"
+UNMATCHED_ORDERS_TOPIC = "unmatched_orders"
 
 
 def order_wide(
@@ -62,3 +72,40 @@ def order_wide_job(
             pairs.unpersist()
 
     return wide.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
+
+
+def order_rejects_job(
+    order_lines: DataFrame,
+    detail_lines: DataFrame,
+    out_root: str,
+    checkpoint: str,
+    topic: str = DIRTY_ORDERS_TOPIC,
+) -> DataStreamWriter:
+    """Streaming: orders and details that cannot be read or lack a key or a time, with a reason, to an audit topic."""
+    parsed = (parse_orders(order_lines, keep_dirty=True), parse_details(detail_lines, keep_dirty=True))
+    dirty = [dirty_records(rows).withColumn("kind", F.lit(kind)) for rows, kind in zip(parsed, ("order", "detail"), strict=True)]
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        write_topics(batch.select(F.lit(topic).alias("topic"), "value", "reason", "kind"), out_root, batch_id)
+
+    both = dirty[0].unionByName(dirty[1])
+    return both.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
+
+
+def unmatched_orders_job(
+    order_lines: DataFrame,
+    detail_lines: DataFrame,
+    out_root: str,
+    checkpoint: str,
+    bound_ms: int = 5_000,
+    delay: str = "0 seconds",
+    topic: str = UNMATCHED_ORDERS_TOPIC,
+) -> DataStreamWriter:
+    """Streaming: orders that no detail met within the bound, each once, to an audit topic."""
+    rows = unmatched_orders_stream(order_lines, detail_lines, bound_ms, delay)
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        value = encode(F.struct(*ORDER_FIELDS), keep_nulls=True)
+        write_topics(batch.select(F.lit(topic).alias("topic"), value.alias("value")), out_root, batch_id)
+
+    return rows.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)

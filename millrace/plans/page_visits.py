@@ -9,7 +9,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from millrace.functions.jsontext import encode, parsed_object, with_parsed
 from millrace.operators.applog import PAGE, parse_log
 from millrace.sinks.topics import write_topics
-from millrace.streaming.jumpout import jumpouts_stream
+from millrace.streaming.jumpout import jumpouts_by_windows, jumpouts_stream
 from millrace.streaming.visits import daily_first_visits_stream
 
 # Topic names (fixed values).
@@ -44,9 +44,14 @@ def jumpouts_job(
     bound_ms: int = 10_000,
     by_session: bool = False,
     topic: str = JUMP_OUT_TOPIC,
+    by_windows: bool = False,
 ) -> DataStreamWriter:
-    """Streaming: page lines that end a visit at once, nulls kept."""
-    jumps = jumpouts_stream(page_rows(lines), bound_ms, by_session)
+    """Streaming: page lines that end a visit at once, nulls kept.
+
+    With ``by_windows`` a line is emitted when its window ends, which costs less; otherwise as soon as it is decided.
+    """
+    find = jumpouts_by_windows if by_windows else jumpouts_stream
+    jumps = find(page_rows(lines), bound_ms, by_session)
     return _to_topic(jumps, topic, out_root, checkpoint).outputMode("append")
 
 

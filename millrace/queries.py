@@ -11,7 +11,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from millrace import fixtures as fx
 from millrace.functions.jsontext import as_text, field
 from millrace.functions.timetext import age_years, day_text
-from millrace.operators import applog, changefeed, dimensions, jumpout, newuser, orders, routing, ruletime, visits
+from millrace.operators import applog, changefeed, dimensions, jumpout, newuser, orders, routing, ruletime, startup, visits
 from millrace.plans.app_log import log_job, log_tables
 from millrace.plans.change_feed import (
     ODS_TOPIC,
@@ -20,12 +20,13 @@ from millrace.plans.change_feed import (
     ods_job,
     pulled_rules_job,
 )
-from millrace.plans.order_wide import order_wide, order_wide_job
+from millrace.plans.order_wide import order_rejects_job, order_wide, order_wide_job, unmatched_orders_job
 from millrace.plans.page_visits import jumpouts_job, page_rows, unique_visits_job
 from millrace.session import state_settings, work_dir
 from millrace.sinks.topics import fact_outputs, topic_files, write_quarantine, write_topics
 from millrace.streaming.dimensions import DimFeed, current_dim, dim_ledger
-from millrace.streaming.jumpout import jumpouts_stream, page_sessions_stream
+from millrace.streaming.jumpout import jumpouts_by_windows, jumpouts_stream, page_sessions_stream
+from millrace.streaming.late import late_rows_job
 from millrace.streaming.newuser import device_ledger
 from millrace.streaming.orders import interval_join_stream
 from millrace.streaming.snapshot import Snapshot
@@ -65,7 +66,8 @@ def _pages(spark: SparkSession, sf: str) -> DataFrame:
 def log_valid(spark, sf):
     lines = applog.valid_lines(fx.log_lines(spark, sf))
     mid = F.get_json_object("value", "$.common.mid")
-    return lines.select("seq", mid.alias("mid"), F.get_json_object("value", "$.ts").cast("bigint").alias("ts"))
+    ts = F.get_json_object("value", "$.ts").cast("bigint")
+    return lines.select("seq", mid.alias("mid"), ts.alias("ts"), "value")
 
 
 @query
@@ -253,6 +255,34 @@ def rules_current(spark, sf):
     return routing.latest_rules(fx.rule_changes(spark, sf)).select("source_table", "operate_type", "sink_table")
 
 
+@query
+def cdc_initial(spark, sf):
+    """A snapshot that was read while the table changed, then the changes, from one call of the streaming job."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    root = work_dir(spark, "initial")
+    snapshot, fences = fx.order_snapshot(spark, sf)
+    log = changefeed.normalise(fx.order_history(fx.table(spark, sf, "orders")))
+    records = fx.order_history(fx.sliced_stream(spark, sf, "orders", "o_orderkey"))
+    job = ods_job(
+        records,
+        f"{root}/ods",
+        f"{root}/checkpoint",
+        ["retail.order_info"],
+        first=lambda: startup.snapshot_rows(snapshot, log, fences, {}),
+        fences=fences,
+    )
+    _finish(job)
+    text = topic_files(spark, f"{root}/ods", ODS_TOPIC, columns="value string, seq bigint")
+    rows = changefeed.decode_envelope(text)
+    image = F.when(F.length("data") > 2, F.col("data")).otherwise(F.col("before"))
+    return rows.select(
+        "seq",
+        "type",
+        F.get_json_object(image, "$.id").cast("bigint").alias("id"),
+        F.get_json_object("data", "$.status").alias("status"),
+    )
+
+
 @query
 def cdc_route_asof(spark, sf):
     """Every change by the rule valid when it arrived, from the logs of changes and of rules."""
@@ -357,6 +387,26 @@ def order_detail_parse(spark, sf):
     )
 
 
+@query
+def order_dirty(spark, sf):
+    """Orders and details that cannot be read, lack a key or a time, from one streaming job; their number by reason."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    root = work_dir(spark, "order-rejects")
+    number = F.get_json_object("value", "$.id").cast("bigint")
+    lines, details = (fx.faulty(texts, number) for texts in _order_streams(spark, sf))
+    _finish(order_rejects_job(lines, details, f"{root}/out", f"{root}/checkpoint"))
+    rows = spark.read.schema("topic string, value string, reason string, kind string").parquet(f"{root}/out")
+    size = F.sum(F.when(F.col("reason") == "not_json_object", F.length("value")).otherwise(0))
+    return rows.groupBy("topic", "kind", "reason").agg(F.count("*").alias("n"), size.alias("n_chars"))
+
+
+@query
+def order_unmatched(spark, sf):
+    """Orders that the interval join leaves out."""
+    alone = orders.unmatched_orders(_orders(spark, sf), _details(spark, sf), INTERVAL_MS)
+    return alone.select("id", "user_id", "create_ts")
+
+
 WIDE_CORE = (
     "detail_id", "order_id", "sku_id", "order_price", "sku_num", "province_id", "order_status",
     "user_id", "total_amount", "expire_time", "create_date", "create_hour", "split_total_amount",
@@ -495,6 +545,18 @@ def stream_uv_job(spark, sf):
     return visits_.select(F.get_json_object("value", "$.common.mid").alias("mid"), day_text(ts).alias("day"))
 
 
+@query
+def stream_late(spark, sf):
+    """Page rows that come after the watermark has passed them: the log arrives user by user, in four batches."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    root = work_dir(spark, "late")
+    limits = fx.quarters(spark, sf, "events", "user_id")
+    pages = page_rows(fx.lines_from_events(fx.sliced_stream(spark, sf, "events", "user_id", limits=limits)))
+    _finish(late_rows_job(pages, f"{root}/out", f"{root}/checkpoint"))
+    rows = topic_files(spark, f"{root}/out", "late_rows", columns="value string, watermark bigint, seq bigint")
+    return rows.select("seq", "watermark", F.get_json_object("value", "$.ts").cast("bigint").alias("ts"))
+
+
 @query
 def stream_jumpout(spark, sf):
     rows = jumpouts_stream(page_rows(_line_stream(spark, sf)), BOUND_MS)
@@ -518,6 +580,31 @@ def stream_session(spark, sf):
     return _collected(spark, rows.select("mid", "seq", "ts"), "session")
 
 
+@query
+def stream_jumpout_windows(spark, sf):
+    """Bounced visits by window aggregates: those of all windows that the watermark has passed."""
+    rows = jumpouts_by_windows(page_rows(_line_stream(spark, sf)), BOUND_MS)
+    return _collected(spark, rows.select("mid", "seq", "ts", "reason"), "jumpout-windows")
+
+
+@query
+def stream_jumpout_windows_job(spark, sf):
+    root = work_dir(spark, "jumpout-windows-job")
+    job = jumpouts_job(_line_stream(spark, sf), f"{root}/dwm", f"{root}/checkpoint", BOUND_MS, by_windows=True)
+    _finish(job)
+    jumps = topic_files(spark, f"{root}/dwm", "dwm_user_jump_out")
+    return jumps.select(
+        F.get_json_object("value", "$.common.mid").alias("mid"),
+        F.get_json_object("value", "$.ts").cast("bigint").alias("ts"),
+    )
+
+
+@query
+def stream_session_by_windows(spark, sf):
+    rows = jumpouts_by_windows(page_rows(_line_stream(spark, sf)), BOUND_MS, by_session=True)
+    return _collected(spark, rows.select("mid", "seq", "ts"), "session-by-windows")
+
+
 @query
 def stream_session_windows(spark, sf):
     return _collected(spark, page_sessions_stream(page_rows(_line_stream(spark, sf)), BOUND_MS), "windows")
@@ -537,6 +624,15 @@ def stream_interval_join(spark, sf):
     return _collected(spark, wide.select(*WIDE_CORE), "interval")
 
 
+@query
+def stream_order_unmatched(spark, sf):
+    """The same on streams: orders whose interval the watermark has passed."""
+    root = work_dir(spark, "unmatched")
+    _finish(unmatched_orders_job(*_order_streams(spark, sf), f"{root}/out", f"{root}/checkpoint", INTERVAL_MS))
+    rows = topic_files(spark, f"{root}/out", "unmatched_orders")
+    return rows.select(F.get_json_object("value", "$.id").cast("bigint").alias("id"))
+
+
 def _wide_texts(spark: SparkSession, root: str) -> DataFrame:
     """The enriched part of the wide rows a job wrote."""
     schema = (

@@ -20,14 +20,24 @@ def topic_changes(
     streaming: bool = True,
     startup: str = "latest",
     options: Mapping[str, str] | None = None,
+    keep_dirty: bool = True,
 ) -> DataFrame:
     """Envelope columns + ``seq`` of the change topics, for the given ``db.table`` names.
 
     ``startup="initial"`` starts from the retained beginning, which holds the snapshot
-    rows (type ``read``) followed by the changes.
+    rows (type ``read``) followed by the changes.  Records that cannot be read keep their text
+    and get a ``dirty_reason``, unless ``keep_dirty`` is off: then they are dropped.
     """
     records = topic_lines(spark, servers, topic_pattern, streaming, startup, options=options, pattern=True)
-    return only_tables(normalise(records), tables)
+    return read_records(records, tables, keep_dirty)
+
+
+def read_records(records: DataFrame, tables: Sequence[str] = (), keep_dirty: bool = True) -> DataFrame:
+    """Envelope rows of change records ``topic, value, ..``; see ``topic_changes``."""
+    changes = normalise(records, keep_dirty=True)
+    if keep_dirty:
+        return only_tables(changes, tables, keep="dirty_reason")
+    return only_tables(changes.where("dirty_reason is null"), tables).drop("value", "dirty_reason")
 
 
 def table_snapshot(table: DataFrame, database: str, name: str, order: Column) -> DataFrame:

@@ -1,6 +1,7 @@
-"""Bounced visits on a stream: both definitions as one keyed stateful operator.
+"""Bounced visits on a stream: both definitions as one keyed stateful operator, or as window aggregates.
 
-The key is (device, time slice), as in the batch form, so a busy device is spread over
+The operator emits a row as soon as it is decided; ``jumpouts_by_windows`` emits it when its window ends, and stays
+out of Python.  Of the operator the key is (device, time slice), as in the batch form, so a busy device is spread over
 tasks and its state ends with the slice.  Python code runs on the rows of one key that
 are still undecided, which reach back no further than the bound.
 """
@@ -9,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
@@ -161,3 +162,59 @@ def page_sessions_stream(
         F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"), F.count("*").alias("n_rows")
     )
     return sessions.select(key, "first_ts", "last_ts", "n_rows")
+
+
+def jumpouts_by_windows(
+    pages: DataFrame,
+    bound_ms: int = 10_000,
+    by_session: bool = False,
+    emit_single: bool = False,
+    delay: str = "1 second",
+    slice_ms: int | None = None,
+) -> DataFrame:
+    """As ``jumpouts_stream``, with built-in aggregates only: no row passes through Python.
+
+    The rows of a device are gathered in event-time windows, a slice plus the reach into its neighbours, sorted, and
+    each looks at the rows before and after it.  A bounced visit is emitted once the watermark has passed the end
+    of its window, so up to a slice later than by ``jumpouts_stream``; the rows are the same.  Run it in append mode.
+    """
+    width = slice_ms or default_width(bound_ms)
+    back, ahead = (bound_ms if by_session else 0), bound_ms
+    rows = (
+        pages.where("ts is not null")
+        .withColumn("event_time", event_time(F.col("ts")))
+        .withWatermark("event_time", delay)
+        .withColumn("entry", is_entry())
+    )
+    # windows begin ``back`` before a slice and end ``ahead`` after it
+    span = F.window(
+        "event_time", f"{width + back + ahead} milliseconds", f"{width} milliseconds", f"{(-back) % width} milliseconds"
+    )
+    rows = rows.withColumn("span", span)
+    first = F.unix_millis("span.start") + back
+    own = (F.col("ts") >= first) & (F.col("ts") < first + width)
+    seen = F.struct(
+        "ts", "seq", "entry", own.alias("own"), F.when(own & F.col("entry"), F.col("value")).alias("value")
+    )
+    gathered = rows.groupBy("mid", "span").agg(F.array_sort(F.collect_list(seen)).alias("rows"))
+    decided = gathered.select("mid", F.explode(_decisions(bound_ms, by_session, emit_single)).alias("r"))
+    return decided.select("mid", "r.ts", "r.seq", "r.value", "r.reason")
+
+
+def _decisions(bound_ms: int, by_session: bool, emit_single: bool) -> Column:
+    """The bounced visits among the sorted ``rows`` of a window, each with its reason."""
+
+    def decide(row: Column, place: Column) -> Column:
+        before, after = (F.get("rows", place + step) for step in (-1, 1))
+        gap = after["ts"] - row["ts"]
+        if by_session:
+            goes_on = F.coalesce(gap <= bound_ms, F.lit(False))
+            joined = F.lit(emit_single) | F.coalesce(row["ts"] - before["ts"] <= bound_ms, F.lit(False))
+            reason = F.when(goes_on, F.when(after["entry"], "match")).otherwise(F.when(joined, "end"))
+        else:
+            goes_on = F.coalesce(gap < bound_ms, F.lit(False))
+            reason = F.when(goes_on, F.when(after["entry"], "match")).otherwise("timeout")
+        wanted = row["own"] & row["entry"] & reason.isNotNull()
+        return F.when(wanted, F.struct(row["ts"].alias("ts"), row["seq"].alias("seq"), row["value"].alias("value"), reason.alias("reason")))
+
+    return F.array_compact(F.transform("rows", decide))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.timetext import event_time
-from millrace.operators.orders import interval_join, parse_details, parse_orders
+from millrace.operators.orders import interval_join, parse_details, parse_orders, unmatched_orders
 
 
 def watermarked(parsed: DataFrame, delay: str = "0 seconds") -> DataFrame:
@@ -27,3 +27,12 @@ def interval_join_stream(
     orders = watermarked(parse_orders(order_lines), delay)
     details = watermarked(parse_details(detail_lines), delay)
     return interval_join(orders, details, bound_ms, slice_ms)
+
+
+def unmatched_orders_stream(
+    order_lines: DataFrame, detail_lines: DataFrame, bound_ms: int = 5_000, delay: str = "0 seconds"
+) -> DataFrame:
+    """Orders of two streams of JSON text that no detail met, each once, when its interval has passed."""
+    orders = watermarked(parse_orders(order_lines), delay)
+    details = watermarked(parse_details(detail_lines), delay)
+    return unmatched_orders(orders, details, bound_ms)

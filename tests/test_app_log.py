@@ -84,3 +84,23 @@ def test_each_line_is_parsed_once(spark):
     plan = applog.parse_log(lines(spark, PAGE)).where(F.col("route") == "page").select("mid", "ts")
     text = plan._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("from_json(") == 1
+
+
+def test_null_fields_vanish_at_every_level(spark):
+    cases = {
+        '{"a":null,"b":{"c":null,"d":1,"e":null},"f":[null,{"g":null}]}': {"b": {"d": 1}, "f": [None, {}]},
+        '{"x":{"y":{"z":null}},"s":"q\\":null,","t":null}': {"x": {"y": {}}, "s": 'q":null,'},
+        '{"k,":"b,",":nullx":1,"m":"{","n":{":null":null,"o":"a\\\\"}}': {"k,": "b,", ":nullx": 1, "m": "{", "n": {"o": "a\\"}},
+        '{"a":null}': {},
+        '{"a":"null","b":":null"}': {"a": "null", "b": ":null"},
+    }
+    rows = spark.createDataFrame([(n, text) for n, text in enumerate(cases)], "seq bigint, value string")
+    got = {r.seq: json.loads(r.value) for r in applog.valid_lines(rows).collect()}
+    assert [got[n] for n in range(len(cases))] == list(cases.values())
+    item = {"item": "1", "extra": {"x": None, "y": 2}}
+    line = {**PAGE, "displays": [item]}
+    line["common"] = {**line["common"], "ch": None}
+    out = applog.log_outputs(applog.parse_log(spark.createDataFrame([(1, json.dumps(line)), (2, json.dumps({**PAGE, "page": {**PAGE["page"], "item": None}}))], "seq bigint, value string")))
+    values = [json.loads(r.value) for r in out.collect()]
+    assert {"x": None, "y": 2} not in [v.get("extra") for v in values] and any(v.get("extra") == {"y": 2} for v in values)
+    assert all("item" not in v.get("page", {}) for v in values)

@@ -21,7 +21,7 @@ from millrace.plans.page_visits import jumpouts_job, page_rows, unique_visits_jo
 from millrace.session import work_dir
 from millrace.sinks.topics import topic_files, write_topics
 from millrace.streaming.dimensions import current_dim, dim_ledger, publish_dim
-from millrace.streaming.jumpout import jumpouts_stream, page_sessions_stream
+from millrace.streaming.jumpout import jumpouts_by_windows, jumpouts_stream, page_sessions_stream
 from millrace.streaming.ledger import Ledger
 from millrace.streaming.newuser import device_ledger
 from millrace.streaming.orders import interval_join_stream
@@ -114,6 +114,21 @@ def test_jumpouts(spark, visit_feed, by_session):
     assert bag(collect(spark, got).select("mid", "seq", "ts")) == bag(want.select("mid", "seq", "ts"))
 
 
+@pytest.mark.parametrize("by_session", [False, True])
+def test_jumpouts_by_windows(spark, visit_feed, by_session):
+    pages = real(page_rows(visit_feed.batch(spark)))
+    want = jumpouts_by_session(pages, 10_000) if by_session else jumpouts_by_pattern(pages, 10_000)
+    got = jumpouts_by_windows(page_rows(visit_feed.stream(spark)), 10_000, by_session, slice_ms=40_000)
+    held = collect(spark, got)
+    columns = ["mid", "seq", "ts", *([] if by_session else ["reason"])]
+    assert bag(held.select(*columns)) == bag(want.select(*columns))
+    assert {json.loads(r.value)["ts"] for r in held.collect()} == {r.ts for r in want.collect()}
+    batch = jumpouts_by_windows(pages, 10_000, by_session)
+    plan = batch._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan
+    assert bag(batch.select(*columns)) == bag(want.select(*columns))
+
+
 def test_jumpouts_do_not_depend_on_arrow_batches(spark, visit_feed):
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
     try:
