@@ -45,4 +45,6 @@ ORACLE: dict[str, str] = {
     "op2_url_filter": urlglob.OP2_SQL,
     "op7_ball_tree": balltree.OP7_SQL,
     "op9_exact_dedup": exactdedup.OP9_SQL,
+    "op11_spelling_variants": spelling.OP11_SQL,
+    "op13_conversation_repair": turns.OP13_SQL,
 }

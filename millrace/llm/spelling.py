@@ -297,3 +297,47 @@ def variants(docs: DataFrame, frequent: int = FREQUENT) -> DataFrame:
 
 def op11_spelling_variants(spark, sf_dir: str) -> DataFrame:
     return variants(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+OP11_SQL = r"""
+with recursive crc_table as (
+  select list(list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, z: case when c & 1 = 1 then xor(3988292384, c >> 1) else c >> 1 end) order by n) as t from range(256) r(n)
+), runs as (
+  select coalesce(cast(doc_id as varchar), '') as doc,
+         unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')) as raw from documents where text is not null
+), lowered as (
+  select doc, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run, count(*) as n from runs group by all
+), hashed as (
+  -- code points up to U+00FF: one byte or two
+  select run, n, xor(4294967295, list_reduce(
+    list_concat([4294967295], flatten(list_transform(string_split(doc || ':' || run, ''),
+      lambda c: case when ord(c) < 128 then [cast(ord(c) as bigint)] when ord(c) < 192 then [194, cast(ord(c) as bigint)]
+                     else [195, cast(ord(c) as bigint) - 64] end))),
+    lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8))) as h
+  from lowered, crc_table
+), changed as (
+  select case when h % 97 = 0 then left(run, h % length(run)) || substr(run, h % length(run) + 2) else run end as word, n from hashed
+), words as (
+  select word, cast(sum(n) as bigint) as n from changed where length(word) >= 5 group by word having sum(n) >= 3
+), shorter as (
+  select word, n, i, left(word, i) || substr(word, i + 2) as rest
+  from (select word, n, unnest(range(length(word))) as i from words)
+), near as (
+  select distinct a.word, a.n, b.word as other, b.n as other_n from shorter a join shorter b using (i, rest) where a.word <> b.word
+  union select s.word, s.n, w.word, w.n from shorter s join words w on s.rest = w.word
+  union select w.word, w.n, s.word, s.n from shorter s join words w on s.rest = w.word
+), best as (
+  select word, count(*) as n_near, arg_min(other, (-other_n, other)) as other, max(other_n) as other_n, any_value(n) as n
+  from near group by word
+), forms as (
+  select w.word, w.n, coalesce(n_near, 0) as n_near, case when other_n >= 2 * w.n then other end as form,
+         case when other_n >= 2 * w.n then other_n end as form_n
+  from words w left join best b on w.word = b.word
+), chain as (
+  select word, word as last, 0 as step from forms
+  union all select c.word, f.form, step + 1 from chain c join forms f on c.last = f.word where f.form is not null
+)
+select f.word, form, root, n, n_near, form_n
+from forms f join (select word, arg_max(last, step) as root from chain group by word) r on f.word = r.word
+"""

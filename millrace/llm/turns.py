@@ -344,3 +344,80 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def op13_conversation_repair(spark, sf_dir: str) -> DataFrame:
     return repair(damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
+
+
+# --- the same in SQL: whole strings in place of linked nodes ---------------------------------
+
+
+def _edit(source: str, edit: str, cost: str, line: str | None) -> str:
+    """SQL for a state after one more edit: cost, audit and repaired text, compared in that order."""
+    text = f"{source}.t" if line is None else f"case when {source}.a similar to 'D*' then {line} else {source}.t || chr(10) || {line} end"
+    return f"case when {source} is not null then {{c: {source}.c + {cost}, a: {source}.a || '{edit}', t: {text}}} end"
+
+
+def _insert(source: str, role: str) -> str:
+    return _edit(source, INSERT, str(COST[INSERT]), f"'{role}:'")
+
+
+def _after(state: str, kept_from: dict[str, str], role: str | None) -> str:
+    """SQL for the best way into a state by the row ``r``: deleted, kept, or with a new role."""
+    initial = {"system": "s", "user": "u", "assistant": "a"}[state] if state != "nothing" else ""
+    ways = [_edit(state, DELETE, str(COST[DELETE]), None)]
+    extra = f"{TRUNCATED} * cast(truncated as int)"
+    for source in kept_from.get(state, ()):
+        keep = _edit(source, KEEP, extra, "role || ':' || text")
+        ways.append(f"case when not must_go and left(role, 1) = '{initial}' then {keep} end")
+        if role:
+            renamed = _edit(source, REROLE, f"{COST[REROLE]} + {extra}", f"'{role}:' || text")
+            ways.append(f"case when not must_go then {renamed} end")
+    return f"least({', '.join(ways)})" if len(ways) > 1 else ways[0]
+
+
+_FROM = {"system": ("nothing",), "user": ("nothing", "system", "assistant"), "assistant": ("user",)}
+_KIND = "struct(c bigint, a varchar, t varchar)"
+_INSERTED = f"""select * replace (least("user", {", ".join(_insert(s, "user") for s in _FROM["user"])}) as "user") from best"""
+_SETTLED = f"""select * replace (least(assistant, {_insert('"user"', "assistant")}) as assistant) from ({_INSERTED})"""
+OP13_SQL = f"""
+with recursive crc_table as (
+  select list(list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, z: case when c & 1 = 1 then xor(3988292384, c >> 1) else c >> 1 end) order by n) as crcs from range(256) b(n)
+), marked as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    xor(4294967295, list_reduce(
+      list_concat([4294967295], list_transform(string_split(
+        coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' '), ''), lambda c: cast(ord(c) as bigint))),
+      lambda c, b: xor(crcs[(xor(c, b) & 255) + 1], c >> 8))) % 20 as fault
+  from conversations, crc_table
+), damaged as (
+  select conv_id, turn, case fault when 4 then 'user' else role end as role,
+    case fault when 1 then '' when 2 then translate(text, '.!?', '') else text end as text
+  from marked, range(2) copies(copy) where fault <> 0 and (copy = 0 or fault = 3)
+), placed as (
+  select *, row_number() over w as place,
+    lag(left(role, 1)) over w || left(role, 1) not in ('su', 'ua', 'au') as illegal,
+    regexp_replace(text, '[ \t\n\x0B\f\r]+$', '') as bare
+  from damaged window w as (partition by conv_id order by turn nulls first, role, text)
+), r as (
+  select conv_id, turn, role, text, place, illegal,
+    row_number() over (partition by conv_id, role, text order by place) > 1 as again, bare = '' as blank, bare <> '' and again as duplicate,
+    bare <> '' and not again and right(bare, 1) not in ('.', '!', '?') as truncated, bare = '' or again as must_go
+  from placed
+), best as (
+  select conv_id, cast(0 as bigint) as place, cast({{c: 0, a: '', t: ''}} as {_KIND}) as nothing, cast(null as {_KIND}) as system,
+    cast(null as {_KIND}) as "user", cast(null as {_KIND}) as assistant from (select distinct conv_id from conversations)
+  union all
+  select b.conv_id, r.place, {_after("nothing", {}, None)}, {_after("system", _FROM, None)},
+    {_after("user", _FROM, "user")}, {_after("assistant", _FROM, "assistant")}
+  from ({_SETTLED}) b join r on b.conv_id is not distinct from r.conv_id and r.place = b.place + 1
+), ended as (
+  select conv_id, least(nothing, assistant) as way
+  from ({_SETTLED}) where true qualify row_number() over (partition by conv_id order by place desc) = 1
+), faults as (
+  select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count_if(blank) as blank,
+    count_if(duplicate) as duplicate, count_if(truncated) as truncated, count_if(illegal) as illegal from r group by conv_id
+)
+select e.conv_id, cast(coalesce(gaps, 0) as bigint) as gaps, cast(coalesce(blank, 0) as bigint) as blank,
+  cast(coalesce(duplicate, 0) as bigint) as duplicate, cast(coalesce(truncated, 0) as bigint) as truncated,
+  cast(coalesce(illegal, 0) as bigint) as illegal, cast(way.c as bigint) as cost, way.a as audit, sha256(way.t) as repaired_sha256
+from ended e left join faults f on e.conv_id is not distinct from f.conv_id
+""".replace("user.", '"user".').replace("user is not", '"user" is not')
