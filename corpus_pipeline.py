@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import exactdedup, nearcopies, packing, pii, quality
+from millrace.llm import exactdedup, packing, pii, quality, simhash
 from millrace.llm.common import stored
 
 
@@ -21,7 +21,8 @@ def exact_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return nearcopies.drop_near_copies(docs)
+    """Three-word shingles, links at three or fewer differing bits: the settings of the SimHash operator."""
+    return simhash.near_distinct(docs)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
