@@ -11,7 +11,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from millrace.operators.applog import DIRTY, LogTopics, log_outputs, parse_log
 from millrace.operators.newuser import repair_new_flag
-from millrace.sinks.topics import write_topics
+from millrace.sinks.topics import Writer, file_writer
 from millrace.streaming.ledger import Ledger
 from millrace.streaming.newuser import repair_batch
 
@@ -48,6 +48,7 @@ def log_job(
     order_by: Sequence[str] = ("seq",),
     topics: LogTopics = LogTopics(),
     pages_with_displays: bool = False,
+    writer: Writer | None = None,
 ) -> DataStreamWriter:
     """Streaming: one parse of a micro-batch, all outputs in one write."""
 
@@ -55,7 +56,7 @@ def log_job(
         parsed = accepted_lines(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             repaired = repair_batch(parsed, batch_id, ledger, order_by=order_by)
-            write_topics(log_outputs(repaired, topics, pages_with_displays), out_root, batch_id)
+            (writer or file_writer(out_root))(log_outputs(repaired, topics, pages_with_displays), batch_id)
         finally:
             parsed.unpersist()
 

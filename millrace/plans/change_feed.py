@@ -30,7 +30,7 @@ from millrace.operators.routing import (
     tag_by_pulled_rules,
 )
 from millrace.operators.startup import changes_after
-from millrace.sinks.topics import fact_outputs, is_complete, write_topics
+from millrace.sinks.topics import Writer, fact_outputs, file_writer, is_complete
 from millrace.streaming.ledger import Ledger
 from millrace.streaming.snapshot import Snapshot
 
@@ -48,6 +48,7 @@ def ods_job(
     dirty_topic: str = DIRTY_TOPIC,
     first: Callable[[], DataFrame] | None = None,
     fences: DataFrame | None = None,
+    writer: Writer | None = None,
 ) -> DataStreamWriter:
     """Streaming: change records of the given ``db.table`` names -> envelope text in one topic.
 
@@ -69,7 +70,7 @@ def ods_job(
             F.when(dirty, F.col("_text")).otherwise(F.col("value")).alias("value"),
             *[c for c in ("seq",) if c in changes.columns],
         )
-        write_topics(envelopes, out_root, batch_id)
+        (writer or file_writer(out_root))(envelopes, batch_id)
 
     return records.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
 
@@ -133,6 +134,7 @@ def change_feed_job(
     unrouted_topic: str = UNROUTED_TOPIC,
     dirty_topic: str = DIRTY_TOPIC,
     evolve_dims: bool = False,
+    writer: Writer | None = None,
 ) -> DataStreamWriter:
     """Streaming: rules are read again at the start of every micro-batch.
 
@@ -163,7 +165,7 @@ def change_feed_job(
             if is_text:
                 dirty = parsed.where("dirty_reason is not null")
                 outputs = outputs.unionByName(dirty.select(F.lit(dirty_topic).alias("topic"), "value"))
-            write_topics(outputs, out_root, batch_id)
+            (writer or file_writer(out_root))(outputs, batch_id)
             dims.append(batch_id, dim_changes(routed))
         finally:
             routed.unpersist()
@@ -178,6 +180,7 @@ def pulled_rules_job(
     out_root: str,
     checkpoint: str,
     period: str = "20 seconds",
+    writer: Writer | None = None,
 ) -> DataStreamWriter:
     """Streaming: whole images tagged with their sink table, rules pulled periodically."""
 
@@ -186,7 +189,7 @@ def pulled_rules_job(
         outputs = tagged.select(
             F.col("sink_table").alias("topic"), encode(F.col("data"), keep_nulls=True).alias("value")
         )
-        write_topics(outputs, out_root, batch_id)
+        (writer or file_writer(out_root))(outputs, batch_id)
 
-    writer = changes.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
-    return writer.trigger(processingTime=period)
+    job = changes.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
+    return job.trigger(processingTime=period)

@@ -20,7 +20,7 @@ from millrace.operators.orders import (
     parse_details,
     parse_orders,
 )
-from millrace.sinks.topics import write_topics
+from millrace.sinks.topics import Writer, file_writer
 from millrace.streaming.orders import interval_join_stream, unmatched_orders_stream
 from millrace.streaming.snapshot import Snapshot
 
@@ -51,6 +51,7 @@ def order_wide_job(
     delay: str = "0 seconds",
     as_of: str | None = None,
     topic: str = ORDER_WIDE_TOPIC,
+    writer: Writer | None = None,
 ) -> DataStreamWriter:
     """Streaming: stream-stream join, then lookups in snapshots of bounded age.
 
@@ -67,7 +68,7 @@ def order_wide_job(
             rows = enrich(pairs, tables, as_of, narrow=True, n_rows=n_rows)
             value = encode(F.struct(*rows.columns), keep_nulls=True)
             outputs = rows.select(F.lit(topic).alias("topic"), value.alias("value"))
-            write_topics(outputs, out_root, batch_id)
+            (writer or file_writer(out_root))(outputs, batch_id)
         finally:
             pairs.unpersist()
 
@@ -80,13 +81,14 @@ def order_rejects_job(
     out_root: str,
     checkpoint: str,
     topic: str = DIRTY_ORDERS_TOPIC,
+    writer: Writer | None = None,
 ) -> DataStreamWriter:
     """Streaming: orders and details that cannot be read or lack a key or a time, with a reason, to an audit topic."""
     parsed = (parse_orders(order_lines, keep_dirty=True), parse_details(detail_lines, keep_dirty=True))
     dirty = [dirty_records(rows).withColumn("kind", F.lit(kind)) for rows, kind in zip(parsed, ("order", "detail"), strict=True)]
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        write_topics(batch.select(F.lit(topic).alias("topic"), "value", "reason", "kind"), out_root, batch_id)
+        (writer or file_writer(out_root))(batch.select(F.lit(topic).alias("topic"), "value", "reason", "kind"), batch_id)
 
     both = dirty[0].unionByName(dirty[1])
     return both.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
@@ -100,12 +102,13 @@ def unmatched_orders_job(
     bound_ms: int = 5_000,
     delay: str = "0 seconds",
     topic: str = UNMATCHED_ORDERS_TOPIC,
+    writer: Writer | None = None,
 ) -> DataStreamWriter:
     """Streaming: orders that no detail met within the bound, each once, to an audit topic."""
     rows = unmatched_orders_stream(order_lines, detail_lines, bound_ms, delay)
 
     def process(batch: DataFrame, batch_id: int) -> None:
         value = encode(F.struct(*ORDER_FIELDS), keep_nulls=True)
-        write_topics(batch.select(F.lit(topic).alias("topic"), value.alias("value")), out_root, batch_id)
+        (writer or file_writer(out_root))(batch.select(F.lit(topic).alias("topic"), value.alias("value")), batch_id)
 
     return rows.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)

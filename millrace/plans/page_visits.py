@@ -8,7 +8,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from millrace.functions.jsontext import encode, parsed_object, with_parsed
 from millrace.operators.applog import PAGE, parse_log
-from millrace.sinks.topics import write_topics
+from millrace.sinks.topics import Writer, file_writer
 from millrace.streaming.jumpout import jumpouts_by_windows, jumpouts_stream
 from millrace.streaming.visits import daily_first_visits_stream
 
@@ -30,11 +30,15 @@ def page_rows(lines: DataFrame) -> DataFrame:
 
 
 def unique_visits_job(
-    lines: DataFrame, out_root: str, checkpoint: str, topic: str = UNIQUE_VISIT_TOPIC
+    lines: DataFrame,
+    out_root: str,
+    checkpoint: str,
+    topic: str = UNIQUE_VISIT_TOPIC,
+    writer: Writer | None = None,
 ) -> DataStreamWriter:
     """Streaming: the first entry line of each device and day, nulls kept."""
     visits = daily_first_visits_stream(page_rows(lines))
-    return _to_topic(visits, topic, out_root, checkpoint).outputMode("update")
+    return _to_topic(visits, topic, writer or file_writer(out_root), checkpoint).outputMode("update")
 
 
 def jumpouts_job(
@@ -45,6 +49,7 @@ def jumpouts_job(
     by_session: bool = False,
     topic: str = JUMP_OUT_TOPIC,
     by_windows: bool = False,
+    writer: Writer | None = None,
 ) -> DataStreamWriter:
     """Streaming: page lines that end a visit at once, nulls kept.
 
@@ -52,13 +57,13 @@ def jumpouts_job(
     """
     find = jumpouts_by_windows if by_windows else jumpouts_stream
     jumps = find(page_rows(lines), bound_ms, by_session)
-    return _to_topic(jumps, topic, out_root, checkpoint).outputMode("append")
+    return _to_topic(jumps, topic, writer or file_writer(out_root), checkpoint).outputMode("append")
 
 
-def _to_topic(rows: DataFrame, topic: str, out_root: str, checkpoint: str) -> DataStreamWriter:
+def _to_topic(rows: DataFrame, topic: str, send: Writer, checkpoint: str) -> DataStreamWriter:
     def process(batch: DataFrame, batch_id: int) -> None:
         lines = with_parsed(batch, parsed_object(F.col("value")), "doc")
         value = encode(F.col("doc"), keep_nulls=True)
-        write_topics(lines.select(F.lit(topic).alias("topic"), value.alias("value")), out_root, batch_id)
+        send(lines.select(F.lit(topic).alias("topic"), value.alias("value")), batch_id)
 
     return rows.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)

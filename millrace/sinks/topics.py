@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,14 +30,60 @@ def fact_outputs(records: DataFrame, default_topic: str = DEFAULT_FACT_TOPIC) ->
 
 
 def write_topics(outputs: DataFrame, root: str, batch_id: int) -> None:
-    """Write ``topic, value, ...`` under ``root/batch_id=N/topic=T``.
+    """Write ``topic, value, ...`` under ``root/batch_id=N/topic=T``, all of it at once.
 
-    A batch that was already committed is left alone, so a replayed batch changes
-    nothing; an uncommitted one is replaced as a whole.
+    The batch is written aside, in a folder that readers pass over, and then moved to its place in one step: a
+    job that reads the topics while they are written meets whole batches only, and never a file of a try that was
+    not finished.  A batch that is in its place is left alone, so a replayed batch changes nothing.  Moving a folder is
+    one step on a file system; on an object store without renames, use a committer or table format that commits.
     """
-    path = f"{root.rstrip('/')}/batch_id={batch_id}"
-    if not is_complete(outputs.sparkSession, path):
-        outputs.write.mode("overwrite").partitionBy("topic").parquet(path)
+    spark, path = outputs.sparkSession, f"{root.rstrip('/')}/batch_id={batch_id}"
+    if is_complete(spark, path):
+        return
+    staged = f"{root.rstrip('/')}/_staging/batch_id={batch_id}"
+    outputs.write.mode("overwrite").partitionBy("topic").parquet(staged)
+    publish_folder(spark, staged, path)
+
+
+def publish_folder(spark: SparkSession, staged: str, path: str) -> None:
+    """Move a written folder to its place; an unfinished one there, left by a job that did not stage, goes first."""
+    source, target = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (staged, path))
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(target):
+        files.delete(target, True)
+    files.mkdirs(target.getParent())
+    if not files.rename(source, target):
+        raise OSError(f"{staged} could not be moved to {path}")
+
+
+def expire_batches(spark: SparkSession, root: str, before: int) -> list[int]:
+    """Delete the committed batches below ``before``: those that every reader of the topics has passed.
+
+    Their numbers are returned.  A job's own last batches must stay, as a replay asks whether they are in place.
+    """
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/batch_id=*/_SUCCESS")
+    files = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    gone = []
+    for found in files.globStatus(pattern) or []:
+        folder = found.getPath().getParent()
+        number = int(folder.getName().removeprefix("batch_id="))
+        if number < before and files.delete(folder, True):
+            gone.append(number)
+    return sorted(gone)
+
+
+# How a job hands over the ``topic, value`` rows of a micro-batch and its number.
+Writer = Callable[[DataFrame, int], None]
+
+
+def file_writer(root: str) -> Writer:
+    """Topic directories under ``root``."""
+    return lambda outputs, batch_id: write_topics(outputs, root, batch_id)
+
+
+def kafka_writer(servers: str) -> Writer:
+    """The topic named in each row; a replayed batch is sent again, as the sink promises at least once."""
+    return lambda outputs, batch_id: write_kafka(outputs, servers)
 
 
 def topic_files(

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from millrace.sinks.topics import write_topics
+from millrace.sinks.topics import Writer, file_writer
 from millrace.streaming.ledger import Ledger
 
 LATE_TOPIC = "late_rows"
@@ -50,6 +50,7 @@ def late_rows_job(
     delay_ms: int = 1_000,
     ts: str = "ts",
     topic: str = LATE_TOPIC,
+    writer: Writer | None = None,
 ) -> DataStreamWriter:
     """Streaming: the late ones of rows with ``value`` and a time, with the watermark they missed, to an audit topic."""
     ledger = watermark_ledger(rows.sparkSession, f"{out_root.rstrip('/')}-watermarks")
@@ -59,7 +60,7 @@ def late_rows_job(
         try:
             late = split_late(held, batch_id, ledger, delay_ms, ts).where("late")
             kept = [c for c in ("seq",) if c in late.columns]
-            write_topics(late.select(F.lit(topic).alias("topic"), "value", "watermark", *kept), out_root, batch_id)
+            (writer or file_writer(out_root))(late.select(F.lit(topic).alias("topic"), "value", "watermark", *kept), batch_id)
         finally:
             held.unpersist()
 

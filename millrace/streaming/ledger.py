@@ -77,6 +77,15 @@ class Ledger:
             raise StaleLedger(f"batch {last[0]} of {self.root} is more than {max_age} seconds old")
         return last[0]
 
+    def expire(self, batch_id: int) -> list[str]:
+        """Delete the generations that batch ``batch_id`` and later ones no longer read; their folders are returned."""
+        self._ensure_base(batch_id)
+        jvm = self.spark._jvm
+        pattern = jvm.org.apache.hadoop.fs.Path(f"{self.root.rstrip('/')}/gen=*")
+        files = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        old = [f.getPath() for f in files.globStatus(pattern) or [] if int(f.getPath().getName()[4:]) < batch_id // self.every]
+        return [str(p.getName()) for p in old if files.delete(p, True)]
+
     def _ensure_base(self, batch_id: int) -> None:
         generation = batch_id // self.every
         if generation == 0:
