@@ -11,8 +11,9 @@ in one place.
 Defined results: a vector takes part if it and its id are not null, it has components, and none is null
 or non-finite; a vector meets only vectors of its own length; repeated ids are separate candidates, but
 none of its own id meets a query, and a repeated query id is answered once (by its smallest vector);
-ties go to the smaller vec_id; components beyond 2**23 (after scaling) are refused, since sums of their products
-could leave 64 bits; empty tables give no rows; other columns are not read.
+ties go to the smaller vec_id; scores are exact whatever the components, as long as they fit 64 bits: a vector whose
+squared length (after scaling) reaches 2**62 is refused, since a score could leave them; empty tables give no rows;
+other columns are not read.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ K = 5
 SHARD_ROWS = 16_384
 BLOCK_QUERIES = 2_048
 LEAF = 128
-LARGEST = 1 << 23
+LONGEST = float(1 << 62)  # squared: the product of two lengths bounds a score
 
 
 class BallTree:
@@ -70,9 +71,10 @@ class BallTree:
     def search(self, queries: np.ndarray, own_ids: np.ndarray, floors: np.ndarray, k: int):
         """Yields (query, id, score) of each query's best ``k`` that are no worse than its floor."""
         wide = queries.astype(np.float64)
-        bounds = wide @ self.centres.T + np.sqrt((wide**2).sum(axis=1))[:, None] * self.radii
-        # Rounding must never lower a bound.
-        bounds += 1e-9 * np.abs(bounds) + 1e-6
+        length = np.sqrt((wide**2).sum(axis=1))[:, None]
+        bounds = wide @ self.centres.T + length * self.radii
+        # Rounding must never lower a bound: it is relative to the products that were summed, not to what is left of them.
+        bounds += 1e-9 * length * (np.sqrt((self.centres**2).sum(axis=1)) + self.radii) + 1e-6
         for q, (query, own, floor) in enumerate(zip(queries, own_ids, floors, strict=True)):
             bound = bounds[q]
             open_nodes, best = [(-bound[0], 0)], []
@@ -107,12 +109,9 @@ def quantised(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
         F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     )
     whole = F.transform("x", lambda v: F.floor(v * F.lit(float(scale))).cast("long"))
-    return part.select(
-        "vec_id",
-        F.when(F.exists("x", lambda v: F.abs(v) > LARGEST / scale), F.raise_error(F.lit("component out of range")))
-        .otherwise(whole)
-        .alias("vector"),
-    )
+    length = F.aggregate("x", F.lit(0.0), lambda sum_, v: sum_ + F.pow(F.floor(v * F.lit(float(scale))).cast("double"), 2.0))
+    refused = F.raise_error(F.lit("a vector is so long that a score could leave 64 bits"))
+    return part.select("vec_id", F.when(length >= LONGEST, refused).otherwise(whole).alias("vector"))
 
 
 FOUND = "query_id long, vec_id long, score long"

