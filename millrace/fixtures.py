@@ -121,6 +121,22 @@ def lines_from_events(events: DataFrame) -> DataFrame:
     )
 
 
+def write_rolled_logs(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """The log lines as a log server leaves them: files rolled by day, and a live one that is still written to."""
+    events = table(spark, sf_dir, "events")
+    lines = lines_from_events(events).join(events.select(F.col("event_id").alias("seq"), "ts"), "seq")
+    days = lines.select(F.date_format("ts", "yyyy-MM-dd").alias("day"), "value")
+    days.repartition("day").write.partitionBy("day").text(f"{root}/_written")
+    days.limit(10).select("value").coalesce(1).write.text(f"{root}/_live")
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    for n, found in enumerate(files.globStatus(path(f"{root}/_written/day=*/part-*"))):
+        day = found.getPath().getParent().getName().removeprefix("day=")
+        files.rename(found.getPath(), path(f"{root}/app.{day}.{n}.log"))
+    for found in files.globStatus(path(f"{root}/_live/part-*")):
+        files.rename(found.getPath(), path(f"{root}/app.log"))
+
+
 def _item(item: Column, order: int) -> Column:
     return F.struct(
         F.lit("shelf").alias("display_type"),

@@ -182,6 +182,8 @@ ORACLE: dict[str, str] = {
     "log_outputs": f"""with {TOPIC_ROWS} select topic, reason, count(*) as n,
         cast(sum(case when fixed = '1' then 1 else 0 end) as bigint) as n_new
         from topic_rows group by topic, reason""",
+    "log_rolled": f"""with {LOG} select strftime(make_timestamp(ts * 1000), '%Y-%m-%d') as day, count(*) as n,
+        count_if(route = 'dirty') as n_dirty, count_if(route = 'page') as n_pages from log group by day""",
     "uv_daily": f"""with {LOG}, r as (
         select mid, strftime(make_timestamp(ts * 1000), '%Y-%m-%d') as day, seq, ts,
                row_number() over (partition by mid, strftime(make_timestamp(ts * 1000), '%Y-%m-%d')

@@ -24,6 +24,7 @@ from millrace.plans.order_wide import order_rejects_job, order_wide, order_wide_
 from millrace.plans.page_visits import jumpouts_job, page_rows, unique_visits_job
 from millrace.session import state_settings, work_dir
 from millrace.sinks.topics import fact_outputs, topic_files, write_quarantine, write_topics
+from millrace.sources.text import rolled_log_lines
 from millrace.streaming.dimensions import DimFeed, current_dim, dim_ledger
 from millrace.streaming.jumpout import jumpouts_by_windows, jumpouts_stream, page_sessions_stream
 from millrace.streaming.late import late_rows_job
@@ -131,6 +132,21 @@ def log_outputs(spark, sf):
     )
 
 
+@query
+def log_rolled(spark, sf):
+    """The daily rolled files of a log server, read as a stream; the live file is left alone."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    root = work_dir(spark, "rolled")
+    fx.write_rolled_logs(spark, sf, root)
+    lines = _collected(spark, rolled_log_lines(spark, root, streaming=True, max_files=8), "rolled-lines")
+    parsed = applog.parse_log(lines)
+    return parsed.groupBy(F.regexp_extract("file", r"app\.(\d+-\d+-\d+)\.", 1).alias("day")).agg(
+        F.count("*").alias("n"),
+        F.count("dirty_reason").alias("n_dirty"),
+        F.sum(F.when(F.col("route") == applog.PAGE, 1).otherwise(0)).alias("n_pages"),
+    )
+
+
 # --- visits -------------------------------------------------------------------------
 
 

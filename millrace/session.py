@@ -37,14 +37,16 @@ def build_session(app: str = "millrace", master: str | None = None, **conf: str)
 
 
 @contextmanager
-def state_settings(spark: SparkSession) -> Iterator[None]:
+def state_settings(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
     """Settings for starting a stateful query, put back afterwards.
 
-    The number of state partitions is fixed for the life of a checkpoint; one per core
-    is enough, and each one costs a commit in every micro-batch.
+    The number of state partitions is fixed for the life of a checkpoint: give as many as the cluster the job may
+    grow to has cores.  By default it is one per core of now, at most the shuffle partitions, since each one costs a commit
+    in every micro-batch.
     """
-    cores = spark.sparkContext.defaultParallelism
-    partitions = min(int(spark.conf.get("spark.sql.shuffle.partitions")), cores)
+    if partitions is None:
+        cores = spark.sparkContext.defaultParallelism
+        partitions = min(int(spark.conf.get("spark.sql.shuffle.partitions")), cores)
     settings = {**STATE_STORE, "spark.sql.shuffle.partitions": str(partitions)}
     old = {key: spark.conf.get(key, None) for key in settings}
     for key, value in settings.items():
