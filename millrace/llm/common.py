@@ -26,6 +26,12 @@ def texts(batch: pa.RecordBatch, column: str = "text") -> Iterator[str]:
         yield value.as_py() or ""
 
 
+def row_texts(batch: pa.RecordBatch) -> Iterator[str]:
+    """The texts of a batch of whole rows (see :func:`packed`), which need no second column; null reads as empty."""
+    for value in batch.column(ROW).field("text"):
+        yield value.as_py() or ""
+
+
 def packed(docs: DataFrame) -> DataFrame:
     """(doc_id, text, whole row): the row travels as one struct, so no input column name can clash."""
     return docs.select(

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import ROW, packed, texts
+from millrace.llm.common import ROW, packed, row_texts, texts
 
 KINDS = ("email", "ip", "card", "phone")
 # The base patterns.
@@ -321,14 +321,12 @@ def redact(docs: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            new = pa.array([mask(text, all_spans(text, weights)[1]) for text in texts(batch)], pa.string())
+            new = pa.array([mask(text, all_spans(text, weights)[1]) for text in row_texts(batch)], pa.string())
             yield pa.RecordBatch.from_arrays([batch.column(ROW), new], names=[ROW, "masked"])
 
     masked = F.when(F.col(f"{ROW}.text").isNotNull(), F.col("masked")).alias("text")
     changed = {"text": masked, "n_chars": F.length(masked).cast("long").alias("n_chars")}
-    done = whole.select(ROW, "text").mapInArrow(
-        run, whole.select(ROW, F.col("text").alias("masked")).schema
-    )
+    done = whole.select(ROW).mapInArrow(run, whole.select(ROW, F.col("text").alias("masked")).schema)
     return done.select(*[changed.get(c, F.col(f"{ROW}.`{c}`").alias(c)) for c in docs.columns])
 
 

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import ROW, packed, stored, texts
+from millrace.llm.common import ROW, packed, row_texts, stored, texts
 
 TRAIN_ROWS = 8_192
 BITS = 14
@@ -102,12 +102,12 @@ def estimate(patterns: list[tuple[tuple[int, ...], float]], rounds: int = 100) -
     return {p: float(v) for (p, _), v in zip(patterns, post, strict=True)}
 
 
-@lru_cache(maxsize=200_000)
+@lru_cache(maxsize=1 << 15)
 def _slot(feature: str) -> int:
     return xxhash.xxh32_intdigest(feature, 7) >> (32 - BITS)
 
 
-@lru_cache(maxsize=200_000)
+@lru_cache(maxsize=1 << 16)
 def _shape(word: str) -> str:
     return DIGIT_RUN.sub("0", LETTER_RUN.sub("a", word))[:12]
 
@@ -227,12 +227,12 @@ def report(docs: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
 def keep_good(docs: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
     """The rows of ``docs`` that the scorer does not reject."""
     model = train(docs, rows)
-    whole = packed(docs)
+    whole = packed(docs).select(ROW)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = scorer(*model)
         for batch in batches:
-            yield batch.filter(pa.array([score(text) >= THRESHOLD for text in texts(batch)], pa.bool_()))
+            yield batch.filter(pa.array([score(text) >= THRESHOLD for text in row_texts(batch)], pa.bool_()))
 
     return whole.mapInArrow(run, whole.schema).select(f"{ROW}.*")
 
