@@ -9,7 +9,7 @@ a logistic curve fitted on the training rows turns it into a score.
 TRAIN_ROWS labelled rows, the first by a hash of their id, bound what is learned from; LEXICON bounds
 the words kept.  Scores use all of every text.
 
-Defined results: a null or empty text has no matches and gets the curve's value at zero; null labels are
+Defined results: a null or empty text has no matches and gets the curve's value at zero; null labels and labels other than 0 and 1 are
 not learned from, a document with several labels takes the largest; rows are scored one by one, so repeated rows
 and ties need nothing special; a null doc_id is not held out; without training rows every score is 0;
 an empty table gives no rows; other columns are not read.
@@ -117,7 +117,7 @@ def held_out(doc_id: Column) -> Column:
 
 def training(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
     """(text, toxic) of at most ``rows`` labelled documents that are not held out."""
-    known = labels.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id")))
+    known = labels.where("doc_id is not null and cast(toxic as int) in (0, 1)").where(~held_out(F.col("doc_id")))
     known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     texts_ = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")

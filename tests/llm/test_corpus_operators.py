@@ -201,6 +201,22 @@ def test_toxicity_learns_and_folds(spark, empty):
     assert toxicity.score(empty, labels).count() == 0
 
 
+def test_toxicity_leaves_out_odd_and_held_out_labels(spark):
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choice(["day", "tree", "river"]) for _ in range(12)) + (" grobnikel" if i % 4 == 0 else "")) for i in range(300)]
+    frame = spark.createDataFrame(rows + rows[:5], "doc_id long, text string")
+    plain = [(i, int(i % 4 == 0)) for i, _ in rows]
+    odd = [(1000, 7), (1, 2), (2, -1), (None, 1), (3, None)]
+    # held-out rows with the wrong label
+    wrong = [(i, 1 - t) if zlib.crc32(str(i).encode()) % 4 == 2 else (i, t) for i, t in plain]
+
+    def scores(labels):
+        rated = toxicity.score(frame, spark.createDataFrame(labels, "doc_id long, toxic int")).collect()
+        return Counter((r["doc_id"], round(r["score"], 12)) for r in rated)
+
+    assert scores(plain) == scores(plain + odd) == scores(wrong) and len(scores(plain)) == 300
+
+
 def test_exception_phrases_do_not_count():
     lexicon = toxicity.Lexicon({" clown ": 3.0})
     assert lexicon.feature("a circus clown") == 0 and lexicon.feature("a clown") == lexicon.feature("circus clown, clown") == 3.0
