@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -55,7 +55,7 @@ def votes(text: str) -> list[int]:
     runs = LETTER_RUN.findall(text)
     letters = sum(map(len, runs))
     lines = [line for line in text.split("\n") if line.strip()]
-    lonely = sum(1 for w in words if not any(map(str.isalnum, w)))
+    lonely = sum(1 for w in words if not w.isalnum() and not any(map(str.isalnum, w)))
     short = sum(1 for w in words if len(w) <= 3 and w.isalpha() and w.islower())
     tails = sum(1 for w in words if len(w) > 1 and not w[-1].isalnum() and not w[-2].isalnum())
     stutter = sum(map(str.__eq__, words, words[1:]))
@@ -102,34 +102,61 @@ def estimate(patterns: list[tuple[tuple[int, ...], float]], rounds: int = 100) -
     return {p: float(v) for (p, _), v in zip(patterns, post, strict=True)}
 
 
-@lru_cache(maxsize=1 << 15)
+class Remembered(dict):
+    """Values of a function by key, forgotten as a whole when there are ``most`` of them."""
+
+    def __init__(self, make, most: int = 1 << 16):
+        super().__init__()
+        self.make, self.most = make, most
+
+    def __missing__(self, key):
+        if len(self) >= self.most:
+            self.clear()
+        value = self[key] = self.make(key)
+        return value
+
+
 def _slot(feature: str) -> int:
     return xxhash.xxh32_intdigest(feature, 7) >> (32 - BITS)
 
 
-@lru_cache(maxsize=1 << 16)
 def _shape(word: str) -> str:
-    return DIGIT_RUN.sub("0", LETTER_RUN.sub("a", word))[:12]
+    return DIGIT_RUN.sub("0", LETTER_RUN.sub("a", word))[:12] if len(word) <= 64 else "long"
+
+
+SHAPES = Remembered(_shape)
+SHAPE_SLOTS = Remembered(_slot)
+PAIR_SLOTS = Remembered(lambda pair: _slot(" ".join(pair)))
+SHORT_SLOTS = Remembered(lambda word: _slot("=" + word.lower()))
+SAME_SLOT = _slot("same")
+BLOCK_WORDS = 1 << 16
+
+
+def _word_blocks(text: str) -> Iterator[list[str]]:
+    """The words of a text, at most BLOCK_WORDS at a time."""
+    if len(text) < 4 * BLOCK_WORDS:
+        words = WORD.findall(text)
+        if words:
+            yield words
+        return
+    found = WORD.finditer(text)
+    while words := [match.group() for match in islice(found, BLOCK_WORDS)]:
+        yield words
 
 
 def features(text: str) -> tuple[np.ndarray, np.ndarray]:
     """(slots, values) of a text, of unit length; memory grows with a block of words, not with the text."""
     counts = np.zeros(1 << BITS)
-    before, last, block = "^", "", []
-    for match in WORD.finditer(text):
-        word = match.group()
-        shape = _shape(word) if len(word) <= 64 else "long"
-        block += (_slot(shape), _slot(before + " " + shape))
-        if len(word) <= 4:
-            block.append(_slot("=" + word.lower()))
-        if word == last:
-            block.append(_slot("same"))
-        before, last = shape, word
-        if len(block) > 1 << 16:
-            counts += np.bincount(block, minlength=1 << BITS)
-            block = []
-    if block:
-        counts += np.bincount(block, minlength=1 << BITS)
+    before, last = "^", ""
+    for words in _word_blocks(text):
+        # letters alone need no pattern, and long words are not worth remembering
+        shapes = ["long" if len(word) > 64 else "a" if word.isalpha() else SHAPES[word] for word in words]
+        slots = [SHAPE_SLOTS[shape] for shape in shapes]
+        slots += [PAIR_SLOTS[pair] for pair in zip([before, *shapes], shapes, strict=False)]
+        slots += [SHORT_SLOTS[word] for word in words if len(word) <= 4]
+        counts += np.bincount(slots, minlength=1 << BITS)
+        counts[SAME_SLOT] += sum(map(str.__eq__, [last, *words], words))
+        before, last = shapes[-1], words[-1]
     slots = np.flatnonzero(counts)
     values = np.sqrt(counts[slots])
     return slots, values / max(1e-12, np.sqrt((values**2).sum()))
