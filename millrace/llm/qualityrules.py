@@ -181,7 +181,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], good: np.ndarray) -> np.ndarr
     size = (2 << BITS) + 1
     bucket = np.concatenate([b for b, _ in rows])
     share = np.concatenate([s for _, s in rows])
-    owner = np.repeat(np.arange(len(rows)), [len(b) for b, _ in rows])
+    owner = np.repeat(np.arange(len(rows), dtype=np.int32), [len(b) for b, _ in rows])
     balance = np.where(good, 0.5 / max(good.sum(), 1), 0.5 / max((~good).sum(), 1))
     weights, squares = np.zeros(size), np.full(size, 1e-12)
     for _ in range(STEPS):
@@ -248,8 +248,8 @@ def learn(docs: DataFrame, labels: DataFrame, train: int = TRAIN_ROWS, calibrati
     found = found.sort_values(["place", "doc_id"])
     good = found["good"].to_numpy(bool)
     rows = [
-        (np.frombuffer(b, "<u2").astype(np.int64), np.frombuffer(s, "<f4").astype(float))
-        for b, s in zip(found["bucket"], found["share"], strict=True)
+        (np.frombuffer(b, "<u2").astype(np.int32), np.frombuffer(s, "<f4"))
+        for b, s in zip(found.pop("bucket"), found["share"], strict=True)
     ]
     # The share of rows kept for calibration is the same for few labels as for many.
     cut = len(rows) * train // (train + calibrating)
