@@ -40,13 +40,14 @@ def sliced_stream(
     name: str,
     by: str,
     slices: int = 4,
-    file_bytes: int = 128 << 20,
+    file_bytes: int = 1 << 20,
     limits: list | None = None,
 ) -> DataFrame:
     """A test table as a stream of several micro-batches, in order of a column.
 
     The slices are written once per session.  ``limits`` are the values that begin a slice, by default
-    those that make slices of about one size.
+    those that make slices of about one size.  A slice is as many files as its size asks for, each one a short task
+    of its micro-batch: a micro-batch of few large files would build and parse its records on as few cores.
     """
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     given = (spark.sparkContext.applicationId, sf_dir, name, by, slices, file_bytes, str(limits))
@@ -70,9 +71,25 @@ def _write_slices(df: DataFrame, root: str, by: str, slices: int, files: int, li
         rows = df.where(place == k)
         rows = rows.coalesce(1) if files == 1 else rows.repartition(files)
         rows.write.parquet(f"{root}/slice={k}")
+        _fill_slice(df, f"{root}/slice={k}", files)
     return root
 
 
+def _fill_slice(df: DataFrame, folder: str, files: int) -> None:
+    """Add empty files to a slice of few rows, so that each slice is the files of one micro-batch."""
+    spark = df.sparkSession
+    path, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+    system = path(folder).getFileSystem(conf)
+    missing = files - len(system.globStatus(path(f"{folder}/part-*.parquet")))
+    if missing <= 0:
+        return
+    spark.createDataFrame([], df.schema).coalesce(1).write.parquet(f"{folder}-empty")
+    empty = system.globStatus(path(f"{folder}-empty/part-*.parquet"))[0].getPath()
+    for n in range(missing):
+        spark._jvm.org.apache.hadoop.fs.FileUtil.copy(system, empty, system, path(f"{folder}/empty-{n}.parquet"), False, conf)
+    system.delete(path(f"{folder}-empty"), True)
+
+
 def _spread(df: DataFrame, sized: DataFrame, name: str) -> DataFrame:
     """Use all cores on a table that is stored as one row group.
 

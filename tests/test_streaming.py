@@ -486,3 +486,36 @@ def test_sliced_stream_keeps_null_rows_and_splits_large_slices(spark, tmp_path):
         query.awaitTermination(60)
         assert sorted(i for ids, _ in batches for i in ids) == list(range(400))
         assert len(batches) == 4 and {n == 1 for _, n in batches} == {file_bytes > 100}
+
+
+def test_slices_are_one_micro_batch_each_and_spread_over_files(spark, tmp_path):
+    # of the first slice only two rows, fewer than its files
+    rows = [(n, 0 if n < 2 else n, "x" * 20 + str(n * 7919)) for n in range(200_000)]
+    spark.createDataFrame(rows, "id long, at long, t string").coalesce(1).write.parquet(str(tmp_path / "spread.parquet"))
+    size = sum(f.stat().st_size for f in (tmp_path / "spread.parquet").glob("*.parquet"))
+    for given in ({}, {"file_bytes": size // 12 + 1}):
+        stream = fx.sliced_stream(spark, str(tmp_path), "spread", "at", limits=[2, 70_000, 130_000], **given)
+        batches = []
+        query = (
+            stream.writeStream.trigger(availableNow=True)
+            .option("checkpointLocation", str(tmp_path / f"checkpoint-spread-{len(given)}"))
+            .foreachBatch(lambda df, _: batches.append((df.count(), df.agg(F.min("id")).first()[0], df.rdd.getNumPartitions())))
+            .start()
+        )
+        query.awaitTermination(60)
+        assert [(n, first) for n, first, _ in batches] == [(2, 0), (69_998, 2), (60_000, 70_000), (70_000, 130_000)]
+    assert all(parts >= 3 for *_, parts in batches)
+
+
+def test_default_slices_of_a_table_of_some_megabytes_use_several_cores(spark, tmp_path):
+    wide = spark.range(150_000).select(F.col("id").alias("at"), F.concat(F.sha2(F.col("id").cast("string"), 256)).alias("t"))
+    wide.coalesce(1).write.parquet(str(tmp_path / "megabytes.parquet"))
+    parts = []
+    query = (
+        fx.sliced_stream(spark, str(tmp_path), "megabytes", "at").writeStream.trigger(availableNow=True)
+        .option("checkpointLocation", str(tmp_path / "checkpoint-megabytes"))
+        .foreachBatch(lambda df, _: parts.append(df.rdd.getNumPartitions()))
+        .start()
+    )
+    query.awaitTermination(60)
+    assert len(parts) == 4 and min(parts) > 1
