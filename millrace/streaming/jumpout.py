@@ -1,14 +1,16 @@
 """Bounced visits on a stream: both definitions as one keyed stateful operator, or as window aggregates.
 
 The operator emits a row as soon as it is decided; ``jumpouts_by_windows`` emits it when its window ends, and stays
-out of Python.  Of the operator the key is (device, time slice), as in the batch form, so a busy device is spread over
-tasks and its state ends with the slice.  Python code runs on the rows of one key that
+out of Python.  Of the operator the key is (bucket of devices, time slice): devices are split by slices as in the batch form, so a busy
+device is spread over tasks and its state ends with the slice, and those of one bucket share their state, as each access
+to state from Python costs more than deciding a row.  Python code runs on the rows of one key that
 are still undecided, which reach back no further than the bound.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
@@ -19,7 +21,9 @@ from millrace.functions.timetext import event_time
 from millrace.operators.timeslices import default_width, with_slices
 from millrace.operators.visits import is_entry
 
-_STATE = "ts bigint, {position}, entry boolean, own boolean, done boolean, value string"
+BUCKETS = 256  # of devices; fixed for the life of a checkpoint
+
+_STATE = "mid string, ts bigint, {position}, entry boolean, own boolean, done boolean, value string"
 _OUTPUT = "mid string, ts bigint, {position}, value string, reason string"
 
 
@@ -39,19 +43,34 @@ class NeighbourDecisions(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         new = [
-            (r.ts, tuple(r[p] for p in self.position), r.entry, r.own, False, r.value) for r in rows
+            (r.mid, r.ts, tuple(r[p] for p in self.position), r.entry, r.own, False, r.value) for r in rows
         ]
-        yield from self._advance(key, new, timerValues.getCurrentWatermarkInMs())
+        yield from self._advance(new, timerValues.getCurrentWatermarkInMs())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        yield from self._advance(key, [], timerValues.getCurrentWatermarkInMs())
+        yield from self._advance([], timerValues.getCurrentWatermarkInMs())
 
     def close(self) -> None:
         pass
 
-    def _advance(self, key, new: list, watermark: int) -> Iterator[Row]:
-        held = [(r[0], tuple(r[1:-4]), *r[-4:]) for r in self.rows.get()]
-        rows = sorted(held + new, key=lambda r: (r[0], r[1]))
+    def _advance(self, new: list, watermark: int) -> Iterator[Row]:
+        held = [(r[0], r[1], tuple(r[2:-4]), *r[-4:]) for r in self.rows.get()]
+        # rows without a device are a group of their own
+        together = sorted(held + new, key=lambda r: (r[0] is not None, r[0] or "", r[1], r[2]))
+        kept, due = [], None
+        for mid, group in groupby(together, key=lambda r: r[0]):
+            open_rows, next_due = yield from self._decide(mid, [r[1:] for r in group], watermark)
+            kept += [(mid, ts, *seq, *rest) for ts, seq, *rest in open_rows]
+            if open_rows:
+                due = next_due if due is None else min(due, next_due)
+        if kept:
+            self.rows.put(kept)
+            self.handle.registerTimer(due)
+        elif held:
+            self.rows.clear()
+
+    def _decide(self, mid, rows: list, watermark: int) -> Iterator[Row]:
+        """Emit the decided rows of a device, sorted by time; returns those to keep and when to look again."""
         emitted = Row("mid", "ts", *self.position, "value", "reason")
         first_open = len(rows)
         for i, (ts, seq, entry, own, done, value) in enumerate(rows):
@@ -63,8 +82,8 @@ class NeighbourDecisions(StatefulProcessor):
             if not done and own and entry:
                 reason = self._reason(ts, rows[i - 1] if i else None, after)
                 if reason:
-                    yield emitted(key[0], ts, *seq, value, reason)
-        self._keep(rows, first_open, watermark, bool(held))
+                    yield emitted(mid, ts, *seq, value, reason)
+        return self._open(rows, first_open, watermark)
 
     def _reason(self, ts: int, before: tuple | None, after: tuple | None) -> str | None:
         if self.by_session:
@@ -77,25 +96,22 @@ class NeighbourDecisions(StatefulProcessor):
             return "timeout"
         return "match" if after[2] else None
 
-    def _keep(self, rows: list, first_open: int, watermark: int, held: bool) -> None:
-        """Keep open rows and, as their predecessor, the last decided one."""
+    def _open(self, rows: list, first_open: int, watermark: int) -> tuple[list, int | None]:
+        """Open rows and, as their predecessor, the last decided one; and the time that decides the next."""
         kept = list(rows[first_open:])
         if first_open:
             ts, seq, entry, own, _, _ = rows[first_open - 1]
             if kept or ts + self.bound_ms > watermark:
                 kept.insert(0, (ts, seq, entry, own, True, None))
         if not kept:
-            if held:
-                self.rows.clear()
-            return
-        self.rows.put([(ts, *seq, *rest) for ts, seq, *rest in kept])
+            return [], None
         if first_open < len(rows):
             due = rows[first_open][0] + self.bound_ms
             if first_open + 1 < len(rows):
                 due = min(due, rows[first_open + 1][0])
         else:
             due = kept[0][0] + self.bound_ms
-        self.handle.registerTimer(due)
+        return kept, due
 
 
 def jumpouts_stream(
@@ -105,6 +121,7 @@ def jumpouts_stream(
     emit_single: bool = False,
     delay: str = "1 second",
     slice_ms: int | None = None,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """Bounced visits of a stream of page rows ``mid, ts, seq, last_page_id, value``.
 
@@ -122,11 +139,12 @@ def jumpouts_stream(
     value = F.when(F.col("own") & F.col("entry"), F.col("value"))
     parts = _position_parts(pages)
     rows = rows.select(
+        F.pmod(F.xxhash64("mid"), F.lit(buckets)).cast("int").alias("bucket"),
         "mid", "slice", "event_time", "ts", "entry", "own", value.alias("value"),
         *[(F.unix_micros(c) if t == "timestamp" else F.col(c)).alias(p) for p, c, t in parts],
     )
     flat = ", ".join(f"{p} {'bigint' if t == 'timestamp' else t}" for p, _, t in parts)
-    decided = rows.groupBy("mid", "slice").transformWithState(
+    decided = rows.groupBy("bucket", "slice").transformWithState(
         NeighbourDecisions(
             [p for p, _, _ in parts], _STATE.format(position=flat), bound_ms, by_session, emit_single
         ),

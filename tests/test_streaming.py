@@ -519,3 +519,23 @@ def test_default_slices_of_a_table_of_some_megabytes_use_several_cores(spark, tm
     )
     query.awaitTermination(60)
     assert len(parts) == 4 and min(parts) > 1
+
+
+def test_devices_of_a_bucket_share_their_state(spark, tmp_path):
+    feed, start = Feed(str(tmp_path / "in")), 1_000_000
+    lines = [line(f"m{n}", start + n % 50) for n in range(600)] + [line("z", start + 60, "x")]
+    feed.add([{"seq": n, "value": text} for n, text in enumerate(lines)])
+    feed.add([{"seq": 1000, "value": line("m7", start + 5_000)}, {"seq": 1001, "value": line("m8", start + 6_000, "x")}])
+    feed.add([{"seq": 1002, "value": line("z", start + 100_000, "x")}])
+    root, got = work_dir(spark, "buckets"), []
+    rows = jumpouts_stream(page_rows(feed.stream(spark)), 10_000, buckets=4)
+    q = finish(
+        rows.writeStream.foreachBatch(lambda b, i: got.extend(tuple(r) for r in b.select("mid", "seq", "reason").collect())).option(
+            "checkpointLocation", root
+        )
+    )
+    want = jumpouts_by_pattern(page_rows(feed.batch(spark)), 10_000).select("mid", "seq", "reason").collect()
+    assert sorted(got) == sorted(tuple(r) for r in want) and len(got) == 600
+    timers = [p.stateOperators[0].customMetrics["numRegisteredTimers"] for p in q.recentProgress]
+    # a timer for each bucket, slice and look at it, not for each device
+    assert 0 < max(timers) <= 8
