@@ -16,6 +16,8 @@ STATE_STORE = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
+# Counting the rows of the store looks every key up before it is written; a job that wants ``numRowsTotal`` turns it on.
+UNCOUNTED_STATE = {"spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false"}
 
 
 def build_session(app: str = "millrace", master: str | None = None, **conf: str) -> SparkSession:
@@ -37,17 +39,17 @@ def build_session(app: str = "millrace", master: str | None = None, **conf: str)
 
 
 @contextmanager
-def state_settings(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
+def state_settings(spark: SparkSession, partitions: int | None = None, count_rows: bool = False) -> Iterator[None]:
     """Settings for starting a stateful query, put back afterwards.
 
     The number of state partitions is fixed for the life of a checkpoint: give as many as the cluster the job may
     grow to has cores.  By default it is one per core of now, at most the shuffle partitions, since each one costs a commit
-    in every micro-batch.
+    in every micro-batch.  ``count_rows`` has the store count its rows for the query progress.
     """
     if partitions is None:
         cores = spark.sparkContext.defaultParallelism
         partitions = min(int(spark.conf.get("spark.sql.shuffle.partitions")), cores)
-    settings = {**STATE_STORE, "spark.sql.shuffle.partitions": str(partitions)}
+    settings = {**STATE_STORE, **({} if count_rows else UNCOUNTED_STATE), "spark.sql.shuffle.partitions": str(partitions)}
     old = {key: spark.conf.get(key, None) for key in settings}
     for key, value in settings.items():
         spark.conf.set(key, value)
