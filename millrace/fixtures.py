@@ -389,13 +389,15 @@ def order_texts_from(orders: DataFrame, province: Column) -> DataFrame:
 
 def faulty(lines: DataFrame, number: Column) -> DataFrame:
     """Record texts, some of them damaged by ``number``: cut off, without key, without time."""
-    value = F.col("value")
+    # a column, so that the text is searched for its number once
+    lines = lines.withColumn("_number", number)
+    value, number = F.col("value"), F.col("_number")
     damaged = (
         F.when(number % 50 == 0, F.substring("value", 1, 9))
         .when(number % 50 == 1, F.regexp_replace(value, r'^\{"id":\d+', '{"id":null'))
         .when(number % 50 == 2, F.regexp_replace(value, r'"create_time":"[^"]*"', '"create_time":"soon"'))
     )
-    return lines.withColumn("value", F.coalesce(damaged, value))
+    return lines.withColumn("value", F.coalesce(damaged, value)).drop("_number")
 
 
 def detail_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
