@@ -132,9 +132,12 @@ def unrouted_changes(changes: DataFrame, rules: DataFrame) -> DataFrame:
 
 def tag_by_pulled_rules(changes: DataFrame, rules: DataFrame) -> DataFrame:
     """Whole images with ``sinkTable`` put inside; unmatched changes are dropped."""
-    matched = decode_image(changes).join(
-        rules.select(*RULE_KEY, "sink_table"),
-        (F.col("tableName") == F.col("source_table")) & (F.col("type") == F.col("operate_type")),
+    # images of dropped changes are not parsed
+    matched = decode_image(
+        changes.join(
+            rules.select(*RULE_KEY, "sink_table"),
+            (F.col("tableName") == F.col("source_table")) & (F.col("type") == F.col("operate_type")),
+        )
     )
     kept = F.map_filter("data", lambda k, v: k != "sinkTable")
     tagged = F.map_concat(kept, F.create_map(F.lit("sinkTable"), F.col("sink_table").cast("variant")))

@@ -1,0 +1,44 @@
+"""What a row costs: texts are taken apart once, or not at all, and state is written without looking it up first."""
+
+from pyspark.sql import functions as F
+
+from millrace import fixtures as fx
+from millrace.operators import routing
+from millrace.session import state_settings
+
+COUNTING = "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"
+CHANGES = "seq bigint, type string, data string, before string, database string, tableName string"
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def changes(spark):
+    order = '{"o_orderkey":7,"o_custkey":8,"o_orderstatus":"F","o_totalprice":1.5}'
+    rows = [
+        (1, "insert", order, "{}", "retail", "order_info"),
+        (2, "read", order, "{}", "retail", "order_info"),
+    ]
+    return spark.createDataFrame(rows, CHANGES)
+
+
+def test_images_without_a_pulled_rule_are_not_parsed(spark):
+    found = plan(routing.tag_by_pulled_rules(changes(spark), fx.rules(spark)))
+    assert found.index("Generate") < found.index("Join")
+
+
+def test_faulty_records_are_searched_for_their_number_once(spark):
+    lines = spark.range(3).select(F.to_json(F.struct("id")).alias("value"))
+    number = F.get_json_object("value", "$.id").cast("bigint")
+    assert plan(fx.faulty(lines, number)).count("get_json_object") == 1
+    assert {r.value for r in fx.faulty(lines, number).collect()} == {'{"id":0}', '{"id":null}', '{"id":2}'}
+
+
+def test_state_is_not_counted_unless_asked(spark):
+    before = spark.conf.get(COUNTING, "true")
+    with state_settings(spark):
+        assert spark.conf.get(COUNTING) == "false"
+    with state_settings(spark, count_rows=True):
+        assert spark.conf.get(COUNTING, "true") == "true"
+    assert spark.conf.get(COUNTING, "true") == before
