@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from millrace.llm import balltree, bpe, exactdedup, packing, pii, quality, simhash, substrings, toxicity, urlglob
+from millrace.llm import balltree, bpe, common, components, exactdedup, packing, pii, quality, simhash, substrings, toxicity, urlglob
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, _input_row string, key long, digest string"
 
@@ -155,6 +155,33 @@ def test_simhash_large_postings_lose_no_pair(spark):
     assert classes(4) == classes(100_000)
 
 
+def test_components_write_as_many_files_as_links_ask_for(spark, monkeypatch):
+    files = []
+
+    def counted(df, name):
+        out = common.stored(df, name)
+        files.append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(components, "stored", counted)
+    edges = spark.createDataFrame([(n, n + 2) for n in range(200)], "a long, b long")
+    held = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {key: spark.conf.get(key) for key in held}
+    try:
+        for key, value in held.items():
+            spark.conf.set(key, value)
+        for size, most in ((100_000, 1), (20, 10)):
+            files.clear()
+            monkeypatch.setattr(components, "LINKS_PER_FILE", size, raising=False)
+            roots = {r["node"]: r["root"] for r in components.components(edges).collect()}
+            assert roots == {n: n % 2 for n in range(202)}
+            assert len(files) > 2 and 0 < max(files[1:]) <= most
+        assert max(files[1:]) > 1
+    finally:
+        for key, value in old.items():
+            spark.conf.set(key, value)
+
+
 def test_near_dedup_stage_equals_brute_force(spark):
     rng = random.Random(9)
     vocabulary = [f"w{n}" for n in range(500)]
