@@ -1,4 +1,4 @@
-"""Order x detail interval join on streams as keyed state shared by buckets of orders.
+"""Order x detail interval join on streams, and the orders it leaves out, as keyed state shared by buckets of orders.
 
 Spark's stream-stream join keeps an entry of the state store per row and looks up, writes and evicts each one, which costs
 more than all else a row passes through.  Here orders and details are one stream, grouped by (bucket of orders, time slice), and a
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState
 
 from millrace.functions.timetext import event_time
-from millrace.operators.orders import DETAIL_FIELDS, ORDER_FIELDS, parse_details, parse_orders, unmatched_orders, wide_columns
+from millrace.operators.orders import DETAIL_FIELDS, ORDER_FIELDS, parse_details, parse_orders, wide_columns
 from millrace.operators.timeslices import default_width, slice_of, with_slices
 
 BUCKETS = 256  # of orders; fixed for the life of a checkpoint
@@ -66,12 +66,25 @@ def interval_join_stream(
 
 
 def unmatched_orders_stream(
-    order_lines: DataFrame, detail_lines: DataFrame, bound_ms: int = 5_000, delay: str = "0 seconds"
+    order_lines: DataFrame,
+    detail_lines: DataFrame,
+    bound_ms: int = 5_000,
+    delay: str = "0 seconds",
+    buckets: int = BUCKETS,
 ) -> DataFrame:
-    """Orders of two streams of JSON text that no detail met, each once, when their interval has passed."""
-    orders = watermarked(parse_orders(order_lines), delay)
+    """Orders of two streams of JSON text that no detail met, each once, when their interval has passed.
+
+    Only the distinct (order, time) pairs of the details are held, and of the orders those that none has met yet.  The event
+    time of the result carries no watermark.
+    """
+    orders = watermarked(parse_orders(order_lines), delay).where(F.col("id").isNotNull())
     details = watermarked(parse_details(detail_lines), delay)
-    return unmatched_orders(orders, details, bound_ms)
+    fields = {name: type_ for name, type_ in orders.dtypes if name != "event_time"}
+    rows = _one_stream(orders, details, _packed(fields), F.lit(None).cast("string"), buckets)
+    alone = rows.groupBy("bucket").applyInPandasWithState(
+        AloneInGroup(bound_ms), "o string", _HELD, "append", "EventTimeTimeout"
+    )
+    return alone.select(_unpacked("o", fields).alias("o")).select("o.*", event_time(F.col("o.create_ts")).alias("event_time"))
 
 
 def _one_stream(orders: DataFrame, details: DataFrame, order: Column, detail: Column, buckets: int, *key: str) -> DataFrame:
@@ -235,3 +248,33 @@ class PairsOfGroup:
             detail = np.searchsorted(ends, pair, "right")
             order = by_code[first[detail] + pair - (ends - n)[detail]]
             yield pd.DataFrame({"o": orders.texts[order], "d": details.texts[detail]})
+
+
+@dataclass(frozen=True)
+class AloneInGroup:
+    """The orders that no detail met within ``bound_ms``, each once the watermark has passed its interval."""
+
+    bound_ms: int
+
+    def __call__(self, key: tuple, chunks: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        old_orders, old_details = _held(state)
+        orders, details = _new(chunks, state)
+        times = pd.DataFrame({"id": details.ids, "ts": details.ts})
+        details = details.at(~times.duplicated().to_numpy())
+        every, seen = _joined([old_orders, orders]), _joined([old_details, details])
+        every = every.at(~self._met(every, seen))
+        watermark = state.getCurrentWatermarkMs()
+        passed = every.ts + self.bound_ms < watermark
+        for start in range(0, int(passed.sum()), PAIRS_AT_ONCE):
+            yield pd.DataFrame({"o": every.texts[passed][start : start + PAIRS_AT_ONCE]})
+        _hold(state, every.at(~passed), seen.at(seen.ts + self.bound_ms >= watermark), self.bound_ms)
+
+    def _met(self, orders: _Side, details: _Side) -> np.ndarray:
+        """Whether an order has a detail; the ranges of the details are marked at their ends and summed."""
+        by_code, first, n = _near(orders, details, self.bound_ms)
+        met = np.zeros(len(orders), bool)
+        marks = np.zeros(len(orders) + 1, np.int64)
+        np.add.at(marks, first[n > 0], 1)
+        np.add.at(marks, (first + n)[n > 0], -1)
+        met[by_code] = np.cumsum(marks)[:-1] > 0
+        return met

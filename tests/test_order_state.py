@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_streaming import Feed, bag, collect, detail, finish, order
 
-from millrace.operators.orders import interval_join, parse_details, parse_orders
+from millrace.operators.orders import interval_join, parse_details, parse_orders, unmatched_orders
 from millrace.session import state_settings, work_dir
 from millrace.streaming import orders as so
 
@@ -42,16 +42,19 @@ def test_rows_are_those_of_the_stream_stream_join(spark, feeds):
     o, d = feeds
     parsed = [so.watermarked(parse(f.stream(spark))) for parse, f in ((parse_orders, o), (parse_details, d))]
     pairs = so.interval_join_stream(o.stream(spark), d.stream(spark), buckets=4)
+    alone = so.unmatched_orders_stream(o.stream(spark), d.stream(spark), buckets=4)
     with state_settings(spark, partitions=1):
         want = bag(collect(spark, interval_join(*parsed)))
         assert bag(collect(spark, pairs)) == want and len(want) > 100
+        want = bag(collect(spark, unmatched_orders(*parsed).select(*alone.columns)))
+        assert bag(collect(spark, alone)) == want and len(want) > 0
 
 
 def test_orders_of_a_bucket_share_their_state(spark, tmp_path):
     o, d = Feed(str(tmp_path / "o"), "value string"), Feed(str(tmp_path / "d"), "value string")
     o.add([order(i, BASE) for i in range(300)])
     d.add([detail(i, i % 300, BASE + 1000) for i in range(900)])
-    for form in (so.interval_join_stream,):
+    for form in (so.interval_join_stream, so.unmatched_orders_stream):
         rows = form(o.stream(spark), d.stream(spark), buckets=4)
         counted = []
         writer = rows.writeStream.foreachBatch(lambda b, _, counted=counted: counted.append(b.count()))
@@ -105,7 +108,7 @@ class Held:
 def test_a_busy_order_is_matched_in_pieces(monkeypatch):
     monkeypatch.setattr(so, "PAIRS_AT_ONCE", 100)
     rng, state, bound = random.Random(2), Held(), 50
-    seen, got, sizes = [], [], []
+    seen, got, sizes, alone_state, alone = [], [], [], Held(), []
     for batch in range(3):
         rows = [
             (rng.random() < 0.4, rng.choice([0, 0, rng.randrange(6)]), 1000 + batch * 60 + rng.randrange(100), f"{batch}-{i}")
@@ -117,5 +120,13 @@ def test_a_busy_order_is_matched_in_pieces(monkeypatch):
         for pairs in so.PairsOfGroup(bound)((0,), iter([chunk[:50], chunk[50:]]), state):
             sizes.append(len(pairs))
             got += list(zip(pairs["o"], pairs["d"], strict=True))
+        for some in so.AloneInGroup(bound)((0,), iter([chunk]), alone_state):
+            alone += list(some["o"])
     want = [(a[3], b[3]) for a in seen for b in seen if a[0] and not b[0] and a[1] == b[1] and abs(a[2] - b[2]) <= bound]
     assert sorted(got) == sorted(want) and max(sizes) <= 100 < len(want)
+    alone_state.hasTimedOut, alone_state.watermark = True, 10_000
+    for some in so.AloneInGroup(bound)((0,), iter([chunk[:0]]), alone_state):
+        alone += list(some["o"])
+    met = {a for a, _ in want}
+    assert sorted(alone) == sorted(t for is_order, _, _, t in seen if is_order and t not in met)
+    assert not alone_state.exists
